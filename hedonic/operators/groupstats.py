@@ -31,16 +31,20 @@ def group_medians(df: DataFrame, keys: list[str], target: str, min_group_size: i
 def median_levels(df: DataFrame, levels: list[list[str]], target: str) -> DataFrame:
     """Medians for several key sets at once: columns ``level``, all keys, ``median``, ``n``."""
     keys = list(dict.fromkeys(k for level in levels for k in level))
-    types = {k: df.schema[k].dataType for k in keys}
-    rows = [
-        F.struct(F.lit(i).alias("level"), *[(F.col(k) if k in level else F.lit(None).cast(types[k])).alias(k) for k in keys])
-        for i, level in enumerate(levels)
-    ]
-    spread = df.select(F.col(target).alias("_y"), F.explode(F.array(*rows)).alias("_l")).select("_y", "_l.*")
-    stats = exact_quantiles(spread, "_y", [0.5], ["level", *keys], ["median"])
+    stats = exact_quantiles(df, target, [0.5], keys, ["median"], levels)
     return stats.select("level", *keys, "median", F.col("n_rows").alias("n"))
 
 
+def _rows_per_level(stats: DataFrame, min_group_size: int) -> dict[int, tuple[int, float | None]]:
+    """For each level the number of groups that are large enough, and its largest median.
+
+    The level without keys has one group, so there this is the overall median.
+    """
+    enough = F.count_if(F.col("n") >= min_group_size).alias("groups")
+    found = stats.groupBy("level").agg(enough, F.max("median").alias("median")).collect()
+    return {r["level"]: (r["groups"], r["median"]) for r in found}
+
+
 def global_median(df: DataFrame, target: str) -> float | None:
     return exact_quantiles(df, target, [0.5], [], ["median"]).first()["median"]
 
@@ -81,8 +85,9 @@ def fit_neighbors(
     medians = stats.filter((F.col("level") == 0) & full & (F.col("n") >= min_group_size)).select(*keys, "median")
     zip_key = F.col("zip_code") if has_zip else F.lit(None).cast("string")
     by_zip = stats.filter((F.col("level") == 1) & zip_key.isNotNull()).select(zip_key.alias("zip_code"), F.col("median").alias("_zip"))
-    overall = stats.filter(F.col("level") == 2).first()
-    return NeighborFit(keys, Lookup(medians), Lookup(by_zip), overall["median"] if overall else None, name, fill)
+    rows = _rows_per_level(stats, 1)
+    known, places = (Lookup(t, rows.get(i, (0, None))[0]) for i, t in enumerate((medians, by_zip)))
+    return NeighborFit(keys, known, places, rows.get(2, (0, None))[1], name, fill)
 
 
 def _filled(df: DataFrame, fit: NeighborFit, column: str) -> DataFrame:
@@ -99,8 +104,8 @@ def _attach(df: DataFrame, fit: NeighborFit, lookup: Lookup, column: str) -> Dat
 
 def attach_previous_year(df: DataFrame, fit: NeighborFit, column: str | None = None) -> DataFrame:
     """For training rows: the median of the same group one year earlier."""
-    shifted = fit.medians.table.withColumn("year", F.col("year") + 1)
-    return _attach(df, fit, Lookup(shifted), column or f"{fit.name}_prev")
+    shifted = Lookup(fit.medians.table.withColumn("year", F.col("year") + 1), fit.medians.rows)
+    return _attach(df, fit, shifted, column or f"{fit.name}_prev")
 
 
 def attach_same_year(df: DataFrame, fit: NeighborFit, column: str | None = None) -> DataFrame:
@@ -193,12 +198,12 @@ def fit_baseline(
     keys = [k for k in ("zip_code", "year") if k in usable]
     level_keys = ([["zip_code", "year"]] if len(keys) == 2 else []) + [[k] for k in keys] + [[]]
     stats = durable(median_levels(keyed, level_keys, target))
+    rows = _rows_per_level(stats, min_group_size)
     levels = []
     for i, level in enumerate(level_keys[:-1]):
         table = stats.filter((F.col("level") == i) & (F.col("n") >= min_group_size))
-        levels.append((level, Lookup(table.select(*level, F.col("median").alias(f"_m{i}")))))
-    overall = stats.filter(F.col("level") == len(level_keys) - 1).first()
-    return MedianBaseline(levels, overall["median"] if overall else None)
+        levels.append((level, Lookup(table.select(*level, F.col("median").alias(f"_m{i}")), rows.get(i, (0, None))[0])))
+    return MedianBaseline(levels, rows.get(len(level_keys) - 1, (0, None))[1])
 
 
 def predict_baseline(df: DataFrame, fit: MedianBaseline, column: str = "pred_baseline", date_col: str = "sold_date") -> DataFrame:

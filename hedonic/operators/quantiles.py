@@ -1,16 +1,17 @@
 """Exact quantiles per group, without gathering a group anywhere.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, which a hot group (say a third of all rows) does not fit.
-Here the wanted order statistics are found by counting instead: rows are counted
-per coarse value cell, the cells holding the wanted ranks are looked up in the
-cumulative counts, and only these cells are split further until a cell is small.
-Every pass is a partially aggregated count; what is shuffled are cell counts.
-
-Cells of one group are bounded whatever the data: a coarse cell index has at most
-2**24 values, a split makes at most 2**16 cells, and the last step ranks the
-distinct values of cells with at most ``CELL_MAX_ROWS`` rows. After three splits a
-cell holds a single double, so the loop always ends.
+aggregation buffer. It is used where counting has shown that every group is small.
+A hot group (say a third of all rows) does not fit such a buffer; there the wanted
+order statistics are found by counting: rows are counted per coarse value cell, the
+cells holding the wanted ranks are looked up in the cumulative counts, and only these
+cells are split further until a cell is small. Every pass is a partially aggregated
+count; what is shuffled are cell counts.
+
+Cells of one group are bounded whatever the data: a coarse cell index has fewer than
+2**19 values, a split makes at most 2**16 + 1 cells, and the last step ranks the
+distinct values of cells with at most ``CELL_MAX_ROWS`` rows. A coarse cell spans
+2**46 doubles, so after three splits it holds a single one and the loop ends.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 from hedonic.functions.scalars import finite
 from hedonic.session import BROADCAST_MAX_ROWS, durable
 
+# Up to this many rows a group, and then a cell, may be ranked by one task.
+GROUP_MAX_ROWS = 1_000_000
 CELL_MAX_ROWS = 1_000_000
-_CELLS_PER_OCTAVE = 4096
+_CELLS_PER_OCTAVE = 64
 _SPLIT = 1 << 16
 _SMALLEST_EXPONENT = 1075  # doubles reach down to 2**-1074
 
@@ -51,30 +54,91 @@ def _holds_wanted_rank(probs: list[float]) -> Column:
     return reduce(lambda a, b: a | b, [(F.col("_base") <= r) & (r < F.col("_base") + F.col("_c")) for r in ranks])
 
 
+def _per_level(df: DataFrame, keys: list[str], levels: list[tuple[int, list[str]]]) -> DataFrame:
+    """Each row once per level, with the keys outside the level set to NULL."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("level"),
+            *[(F.col(k) if k in level else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys],
+        )
+        for i, level in levels
+    ]
+    others = [c for c in df.columns if c not in keys]
+    return df.select(*others, F.inline(F.array(*rows)))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probs: list[float],
     keys: list[str] | None = None,
     names: list[str] | None = None,
+    levels: list[list[str]] | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group of ``keys``.
 
     NULL keys form a group; NULL, NaN and infinite values are not ranked. Returns
     the keys, ``n_rows`` (all rows of the group), ``n_values`` (ranked rows) and
     one double per probability. A group without values has NULL quantiles.
+
+    ``levels`` asks for several groupings at once, each by some of the keys: the
+    result gets a ``level`` number, and the keys outside a level are NULL.
     """
     keys = list(keys or [])
     names = names or [f"q{p:g}" for p in probs]
-    base = df.select(*keys, finite(F.col(value).cast("double")).alias("_v")).withColumn("_b", _coarse_cell(F.col("_v")))
+    groupings = [keys] if levels is None else levels
+    base = df.select(*keys, finite(F.col(value).cast("double")).alias("_v"))
+
+    sizes = _per_level(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")), keys, list(enumerate(groupings)))
+    sizes = sizes.groupBy("level", *keys).agg(F.sum("_c").alias("_c")).groupBy("level").agg(F.max("_c").alias("_c"))
+    largest = {r["level"]: r["_c"] or 0 for r in sizes.collect()}  # one row per level
+    small = [(i, g) for i, g in enumerate(groupings) if largest.get(i, 0) <= GROUP_MAX_ROWS]
+    large = [(i, g) for i, g in enumerate(groupings) if largest.get(i, 0) > GROUP_MAX_ROWS]
+
+    parts = []
+    for i, grouping in small:
+        found = _by_percentile(base, grouping, probs, names)
+        columns = [F.col(k) if k in grouping else F.lit(None).cast(base.schema[k].dataType).alias(k) for k in keys]
+        parts.append(found.select(F.lit(i).alias("level"), *columns, "n_rows", "n_values", *[f"`{n}`" for n in names]))
+    if large:
+        parts.append(_by_counting(base, keys, large, probs, names))
+    out = reduce(DataFrame.unionByName, parts)
+    if levels is not None:
+        return out
+    if keys:
+        return out.drop("level")
+    # a table without rows has one group too
+    counts = [F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("n_rows", "n_values")]
+    return out.agg(*counts, *[F.max(f"`{n}`").alias(n) for n in names])
+
+
+def _by_percentile(df: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
+    """The built-in exact percentile, for groups known to fit its buffer."""
+    quantiles = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count("_v").alias("n_values"), quantiles.alias("_q"))
+    return found.select(*keys, "n_rows", "n_values", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def _by_counting(
+    base: DataFrame, given: list[str], levels: list[tuple[int, list[str]]], probs: list[float], names: list[str]
+) -> DataFrame:
+    """Order statistics from cumulative cell counts, for groups of any size.
+
+    Coarser groupings are counted from the finest counts, not from the rows.
+    """
+    keys = ["level", *given]
+    base = base.withColumn("_b", _coarse_cell(F.col("_v")))
+    counts = base.groupBy(*given, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    counts = _per_level(counts, given, levels).groupBy(*keys, "_b").agg(
+        F.sum("_c").alias("_c"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
+    )
+    base = _per_level(base, given, levels)
 
     group = Window.partitionBy(*keys)
     before = group.orderBy(F.col("_b").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     ranked = F.when(F.col("_b").isNotNull(), F.col("_c")).otherwise(F.lit(0))
     coarse = (
-        base.groupBy(*keys, "_b")
-        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .withColumn("_n_rows", F.sum("_c").over(group))
+        counts.withColumn("_n_rows", F.sum("_c").over(group))
         .withColumn("_n", F.sum(ranked).over(group))
         .withColumn("_base", F.coalesce(F.sum("_c").over(before), F.lit(0)))
     )

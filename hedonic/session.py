@@ -74,9 +74,10 @@ def durable(df: DataFrame) -> DataFrame:
 class Lookup:
     """A fitted table together with the row count that decides how it is joined."""
 
-    def __init__(self, table: DataFrame):
-        self.table = durable(table)
-        self.rows = self.table.count()
+    def __init__(self, table: DataFrame, rows: int | None = None):
+        """Keep and count ``table``; with ``rows`` it is taken as kept and counted already."""
+        self.table = durable(table) if rows is None else table
+        self.rows = self.table.count() if rows is None else rows
 
     @property
     def side(self) -> DataFrame:
