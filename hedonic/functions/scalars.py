@@ -13,6 +13,7 @@ _ISO_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _SLASHED_YEAR_FIRST = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
 _SLASHED_YEAR_LAST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
 # date patterns with a month name, tried after the numeric forms
+_NAMED_MONTH = r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec).*\d{4}"
 _NAMED_MONTH_FORMATS = ["MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d yyyy", "MMMM d yyyy"]
 
 
@@ -108,7 +109,8 @@ def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     iso = F.regexp_replace(iso, _ISO_COMPACT, "$1-$2-$3")
     numeric_form = F.when(iso.rlike(_ISO_START), iso.try_cast("timestamp_ntz"))
     named = [F.try_to_date(text, fmt).cast("timestamp_ntz") for fmt in _NAMED_MONTH_FORMATS]
-    return F.coalesce(numeric_form, *[F.when(text.rlike("[A-Za-z]"), n) for n in named])
+    # only text with a month and a year is worth the tries: a failed one costs an exception
+    return F.when(text.rlike(_NAMED_MONTH), F.coalesce(*named)).otherwise(numeric_form)
 
 
 def season(month: Column) -> Column:

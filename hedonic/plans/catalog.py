@@ -1,6 +1,6 @@
 """All registered queries; importing the modules fills the registry."""
 
-from hedonic.plans import flagship, q_cleaning, q_sources  # noqa: F401
+from hedonic.plans import flagship, q_cleaning, q_groups, q_sources, q_splits  # noqa: F401
 from hedonic.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
