@@ -32,8 +32,8 @@ def equal_width_bins(
     The largest prediction belongs to the last bin. ``drop_maximum`` leaves it out,
     as half-open bins would.
     """
-    extent = df.agg(F.struct(F.min(prediction).alias("low"), F.max(prediction).alias("high"))).scalar()
-    low, high = extent.getField("low"), extent.getField("high")
+    extent = df.agg(F.min(prediction).alias("low"), F.max(prediction).alias("high")).first()
+    low, high = F.lit(extent["low"]).cast("double"), F.lit(extent["high"]).cast("double")
     step = (high - low) / F.lit(bins)
     value = F.col(prediction)
     guess = F.when(step > 0, F.floor((value - low) / step)).otherwise(F.lit(bins)).cast("int")

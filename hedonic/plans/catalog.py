@@ -1,6 +1,15 @@
 """All registered queries; importing the modules fills the registry."""
 
-from hedonic.plans import flagship, q_cleaning, q_groups, q_sources, q_splits  # noqa: F401
+from hedonic.plans import (  # noqa: F401
+    flagship,
+    q_cleaning,
+    q_evaluation,
+    q_groups,
+    q_profile,
+    q_sinks,
+    q_sources,
+    q_splits,
+)
 from hedonic.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -71,6 +71,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Evaluate ``df`` once into a parquet table in the shared folder.
+
+    For large intermediate tables that several passes read: these scan only the
+    columns they use, and push their filters into the scan.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Lookup:
     """A fitted table together with the row count that decides how it is joined."""
 

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from hedonic.operators import clean
+from hedonic.session import written
 from hedonic.sources import schema
 
 
@@ -35,11 +36,16 @@ def load_sales(raw: DataFrame, settings: Mapping[str, Any] | None = None, requir
         if target not in df.columns:
             raise ValueError(f"Target column '{target}' not found.")
         df = df.na.drop(subset=[target])
-    df = clean.apply_filters(df, data.get("filters", {}))
+    filters = data.get("filters", {})
+    winsor = settings.get("features", {}).get("winsorize", {})
+    caps = any("max_percentile" in spec or "min_percentile" in spec for spec in filters.values())
+    if caps or winsor.get("enabled", False):
+        # percentiles take several passes: parse the text once, not once per pass
+        df = written(df, "parsed")
+    df = clean.apply_filters(df, filters)
     sanity = dict(data.get("sanity", {}))
     if sanity.pop("enabled", True):
         df = clean.sanity_drop(df, **sanity)
-    winsor = settings.get("features", {}).get("winsorize", {})
     if winsor.get("enabled", False):
         df = clean.winsorize(df, list(winsor.get("columns", [])), winsor.get("lower_pct", 0.0), winsor.get("upper_pct", 99.0))
     return schema.require_rows(df)
