@@ -5,6 +5,7 @@ from hedonic.plans import (  # noqa: F401
     q_cleaning,
     q_evaluation,
     q_groups,
+    q_models,
     q_profile,
     q_sinks,
     q_sources,
