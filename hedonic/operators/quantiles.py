@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from hedonic.functions.scalars import finite
 from hedonic.session import BROADCAST_MAX_ROWS, durable
 
-# Up to this many rows a group, and then a cell, may be ranked by one task.
-GROUP_MAX_ROWS = 1_000_000
+# A group of at most this many rows may go into one percentile buffer (a task can hold
+# over a hundred such buffers), and a cell of at most that many rows into one window.
+GROUP_MAX_ROWS = 100_000
 CELL_MAX_ROWS = 1_000_000
 _CELLS_PER_OCTAVE = 64
 _SPLIT = 1 << 16
