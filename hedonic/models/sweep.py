@@ -20,7 +20,7 @@ from hedonic.operators.groupstats import fit_baseline, neighbors_from_settings,
 from hedonic.operators.profile import date_window, na_summary
 from hedonic.operators.split import by_cutoff, by_hash, by_year, downsample_train, part
 from hedonic.session import written
-from hedonic.sinks.runs import RunStore
+from hedonic.sinks.runs import PREDICTION_COLUMNS, RunStore
 
 # The full grids, and the reduced ones of a fast sweep (which leaves the forest out).
 GRIDS = {
@@ -219,7 +219,7 @@ def run_sweep(
         model = refit(trv_n, family, best.params, numeric_final, categorical_final, settings, target, log)
         predicted = written(model.predict(base_test, "pred_model"), "predictions")
         summary += [(family, family, "val", best.scores), (family, family, "test", score(predicted, target))]
-        store.predictions(predicted, "test", family)
+        store.predictions(predicted, "test", family, [key, *PREDICTION_COLUMNS])
         model.save(store.model_path(family))
         importances = model.importances(spark)
         if importances is not None:
@@ -227,7 +227,7 @@ def run_sweep(
         if family == winner.family:
             predictions = predicted
             model.save(store.model_path("best"))
-            out["predictions"] = store.predictions(predicted, "test", "best")
+            out["predictions"] = store.predictions(predicted, "test", "best", [key, *PREDICTION_COLUMNS])
             out["params"] = store.params(model.params_table(spark))
 
     rows = [(f, n, s, m["MAE"], m["RMSE"], m["R2"]) for f, n, s, m in summary]
@@ -272,7 +272,7 @@ def run_single(
     compared = metrics.compare_predictions(predicted, {"baseline": "pred_baseline", "model": "pred_model"}, target)
     model.save(store.model_path(family))
     out = {
-        "predictions": store.predictions(predicted, "test", family),
+        "predictions": store.predictions(predicted, "test", family, [key, *PREDICTION_COLUMNS]),
         "metrics": store.metrics(compared.withColumnRenamed("model", "family").withColumn("split", F.lit("test"))),
         "params": store.params(model.params_table(spark)),
     }
@@ -283,7 +283,7 @@ def run_single(
 
 
 def run_by_rmse(
-    sales: DataFrame, settings: Mapping[str, Any], store: RunStore, kind: str = "xgboost", candidates: Sequence[Mapping[str, Any]] = tuple(CANDIDATES)
+    sales: DataFrame, settings: Mapping[str, Any], store: RunStore, key: str, kind: str = "xgboost", candidates: Sequence[Mapping[str, Any]] = tuple(CANDIDATES)
 ) -> dict[str, DataFrame]:
     """One family, chosen among candidates by validation RMSE; the test baseline knows train only."""
     spark = sales.sparkSession
@@ -314,7 +314,7 @@ def run_by_rmse(
     final.save(store.model_path(family))
     out = {"trials": store.write("trials", table), "params": store.params(final.params_table(spark))}
     for name, p in parts.items():
-        out[f"{name}_predictions"] = store.predictions(p, name, family)
+        out[f"{name}_predictions"] = store.predictions(p, name, family, [key, *PREDICTION_COLUMNS])
     out["metrics"] = store.metrics(both[0].unionByName(both[1]).withColumnRenamed("model", "family"))
     importances = final.importances(spark)
     if importances is not None:

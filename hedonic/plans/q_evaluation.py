@@ -200,16 +200,12 @@ def calib_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_bins(calibration.equal_width_bins(predicted_sales(spark, sf_dir), bins=20, drop_maximum=True))
 
 
-@query(
-    "evl_ece_weighted",
-    over(
-        "preds",
-        """SELECT count(*) AS bins, round(sum(n * abs(mean_pred - mean_actual)) / sum(n), 4) AS "ECE_abs",
+ECE_WEIGHTED = """SELECT count(*) AS bins, round(sum(n * abs(mean_pred - mean_actual)) / sum(n), 4) AS "ECE_abs",
                   round(sum(n * abs(mean_pred - mean_actual) / greatest(mean_actual, 1e-9)) / sum(n), 8) AS "ECE_rel",
-                  CAST(sum(n) AS BIGINT) AS total_points FROM bins""",
-        *QUANTILE_BINS,
-    ),
-)
+                  CAST(sum(n) AS BIGINT) AS total_points FROM bins"""
+
+
+@query("evl_ece_weighted", over("preds", ECE_WEIGHTED, *QUANTILE_BINS))
 def ece_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(calibration.ece_weighted(quantile_bins_of(spark, sf_dir)), 4, "ECE_abs"), 8, "ECE_rel")
 

@@ -12,9 +12,10 @@ from hedonic.operators import metrics
 from hedonic.operators.features import STANDARD_EXPRESSIONS, add_expressions, years_since_previous
 from hedonic.operators.split import part
 from hedonic.plans.flagship import rounded
+from hedonic.plans.q_evaluation import ECE_WEIGHTED, QUANTILE_BINS
 from hedonic.plans.q_sinks import store
 from hedonic.plans.registry import query
-from hedonic.plans.sales import MIN_GROUP, TEST_MIN, TRAIN_MAX, VAL_YEAR, over, sales, split_sales
+from hedonic.plans.sales import MIN_GROUP, TEST_MIN, TRAIN_MAX, VAL_YEAR, over, predicted_sales, sales, split_sales
 from hedonic.session import written
 
 NUMERIC = ["bed", "bath", "acre_lot", "house_size", "year", "month", "season", "years_since_prev_sale", "property_age", "bed_per_bath", "log_house_size"]
@@ -336,4 +337,13 @@ def whole_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("run_by_rmse")
 def whole_by_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = [{**BOOSTED, "n_estimators": 3}, {**BOOSTED, "n_estimators": 5}]
-    return sweep.run_by_rmse(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "xgboost", candidates)["metrics"]
+    return sweep.run_by_rmse(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "sale_key", "xgboost", candidates)["metrics"]
+
+
+@query("run_evaluation", over("preds", ECE_WEIGHTED, *QUANTILE_BINS))
+def whole_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation of predictions that were written before: here the calibration error."""
+    runs = store(spark)
+    written_before = runs.predictions(predicted_sales(spark, sf_dir), "test", "formula", ["sale_key", "state", "zip_code", "price"])
+    out = sweep.run_evaluation(written_before, RUN_SETTINGS, runs, "sale_key")["calibration_error"].drop("run_id")
+    return rounded(rounded(out, 4, "ECE_abs"), 8, "ECE_rel")

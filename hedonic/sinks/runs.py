@@ -53,7 +53,8 @@ class RunStore:
         kept = [c for c in (columns or PREDICTION_COLUMNS) if c in df.columns]
         kept += [c for c in df.columns if c.startswith("pred_") and c not in kept]
         out = df.select(*kept).withColumns({"split": F.lit(split), "family": F.lit(family)})
-        return self.write("predictions", out, ["split", "family"])
+        written = self.write("predictions", out, ["split", "family"])
+        return written.filter((F.col("split") == split) & (F.col("family") == family))
 
     def predictions_csv(self, df: DataFrame, name: str, columns: list[str] | None = None) -> str:
         """The same as a CSV folder for other tools; returns its path."""
