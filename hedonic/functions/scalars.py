@@ -12,6 +12,7 @@ _ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
 _ISO_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _SLASHED_YEAR_FIRST = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
 _SLASHED_YEAR_LAST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
+_OTHER_NUMERIC = r"^(\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/-]\d{1,2}[/-]\d{4})([ T]|$)|^\d{8}$"
 # date patterns with a month name, tried after the numeric forms
 _NAMED_MONTH = r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec).*\d{4}"
 _NAMED_MONTH_FORMATS = ["MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d yyyy", "MMMM d yyyy"]
@@ -107,10 +108,13 @@ def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     iso = F.regexp_replace(text, _SLASHED_YEAR_FIRST, "$1-$2-$3")
     iso = F.regexp_replace(iso, _SLASHED_YEAR_LAST, "$3-$1-$2")
     iso = F.regexp_replace(iso, _ISO_COMPACT, "$1-$2-$3")
-    numeric_form = F.when(iso.rlike(_ISO_START), iso.try_cast("timestamp_ntz"))
     named = [F.try_to_date(text, fmt).cast("timestamp_ntz") for fmt in _NAMED_MONTH_FORMATS]
-    # only text with a month and a year is worth the tries: a failed one costs an exception
-    return F.when(text.rlike(_NAMED_MONTH), F.coalesce(*named)).otherwise(numeric_form)
+    # the usual form first and cheapest; a format that does not match costs an exception
+    return (
+        F.when(text.rlike(_ISO_START), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(_OTHER_NUMERIC), iso.try_cast("timestamp_ntz"))
+        .when(text.rlike(_NAMED_MONTH), F.coalesce(*named))
+    )
 
 
 def season(month: Column) -> Column:

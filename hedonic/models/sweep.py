@@ -129,16 +129,29 @@ def best_by_rmse(trials: DataFrame) -> DataFrame:
     return listed.select(F.aggregate("_t", F.col("_t")[0], better).alias("_b")).select("_b.*")
 
 
-def refit(frame: DataFrame, family: str, params: Mapping[str, Any], numeric: list[str], categorical: list[str], settings: Mapping[str, Any], target: str = "price", log: bool = True) -> PriceModel:
-    """A fresh encoder and model on all given rows."""
+def refit_all(
+    frame: DataFrame,
+    chosen: Mapping[str, Mapping[str, Any]],
+    numeric: list[str],
+    categorical: list[str],
+    settings: Mapping[str, Any],
+    target: str = "price",
+    log: bool = True,
+) -> dict[str, PriceModel]:
+    """A fresh encoder on all given rows, and one model per family on the rows it encoded once."""
     encoder = fit_encoder(frame, numeric, categorical, settings)
     vectors = encoder.transform(frame).select(target, "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return fit_encoded(family, params, vectors, encoder, target, log)
+        return {family: fit_encoded(family, params, vectors, encoder, target, log) for family, params in chosen.items()}
     finally:
         vectors.unpersist()
 
 
+def refit(frame: DataFrame, family: str, params: Mapping[str, Any], *rest: Any) -> PriceModel:
+    """The same for one family."""
+    return refit_all(frame, {family: params}, *rest)[family]
+
+
 def model_frame(sales: DataFrame, settings: Mapping[str, Any] | None = None) -> DataFrame:
     """Clean sales with calendar features and engineered expressions."""
     dated = "sold_date" in sales.columns
@@ -215,8 +228,9 @@ def run_sweep(
     summary.append(("baseline", "median_by_zip_year", "test", score(base_test, target, "pred_baseline")))
     out: dict[str, DataFrame] = {}
     predictions = None
-    for family, best in winners.items():
-        model = refit(trv_n, family, best.params, numeric_final, categorical_final, settings, target, log)
+    chosen = {family: best.params for family, best in winners.items()}
+    for family, model in refit_all(trv_n, chosen, numeric_final, categorical_final, settings, target, log).items():
+        best = winners[family]
         predicted = written(model.predict(base_test, "pred_model"), "predictions")
         summary += [(family, family, "val", best.scores), (family, family, "test", score(predicted, target))]
         store.predictions(predicted, "test", family, [key, *PREDICTION_COLUMNS])

@@ -45,8 +45,7 @@ def encoded(df: DataFrame) -> tuple[encode.FeatureEncoder, DataFrame]:
 
 
 def fitted(df: DataFrame, family: str, params: dict) -> PriceModel:
-    encoder, vectors = encoded(df)
-    return fit_encoded(family, params, part(vectors, "train"), encoder)
+    return sweep.refit(part(df, "train"), family, params, NUMERIC, CATEGORICAL, SETTINGS)
 
 
 def scored(df: DataFrame, model: PriceModel) -> DataFrame:

@@ -28,7 +28,7 @@ def load_sales(raw: DataFrame, settings: Mapping[str, Any] | None = None, requir
     df = clean.inf_to_null(df)
     df = schema.detect_price(df)
     if "price" in df.columns:
-        df = clean.inf_to_null(clean.clean_price(df))
+        df = clean.clean_price(df)
     if "sold_date" in df.columns:
         df = df.na.drop(subset=["sold_date"])
     df = schema.require_columns(df, tuple(data.get("required_columns", ("price", "sold_date"))), require_date)
