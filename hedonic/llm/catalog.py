@@ -1,12 +1,14 @@
 """The registered queries of this package and their SQL."""
 
-from hedonic.llm import dac, sharding, urlfilter
+from hedonic.llm import dac, rules, sharding, urlfilter
 
 QUERIES = {
+    "op2_quality_rules": rules.op2_quality_rules,
     "op5_token_binary": dac.op5_token_binary,
     "op8_url_filters": urlfilter.op8_url_filters,
     "op9_sharding": sharding.op9_sharding,
 }
 ORACLES = {
+    "op2_quality_rules": rules.OP2_SQL,
     "op8_url_filters": urlfilter.OP8_SQL,
 }
