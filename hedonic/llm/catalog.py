@@ -1,11 +1,12 @@
 """The registered queries of this package and their SQL."""
 
-from hedonic.llm import dac, rules, sharding, urlfilter
+from hedonic.llm import dac, packing, rules, sharding, urlfilter
 
 QUERIES = {
     "op2_quality_rules": rules.op2_quality_rules,
     "op5_token_binary": dac.op5_token_binary,
     "op8_url_filters": urlfilter.op8_url_filters,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op9_sharding": sharding.op9_sharding,
 }
 ORACLES = {
