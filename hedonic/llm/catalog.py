@@ -1,11 +1,12 @@
 """The registered queries of this package and their SQL."""
 
-from hedonic.llm import dac, neighbours, packing, rules, sharding, simhash, urlfilter
+from hedonic.llm import bpe, dac, neighbours, packing, rules, sharding, simhash, urlfilter
 
 QUERIES = {
     "op2_quality_rules": rules.op2_quality_rules,
     "op4_simhash_dedup": simhash.op4_simhash_dedup,
     "op5_token_binary": dac.op5_token_binary,
+    "op6_bpe_codec": bpe.op6_bpe_codec,
     "op7_quality_classifier": neighbours.op7_quality_classifier,
     "op8_url_filters": urlfilter.op8_url_filters,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
