@@ -1,9 +1,10 @@
 """The registered queries of this package and their SQL."""
 
-from hedonic.llm import bpe, dac, neighbours, packing, rules, sharding, simhash, urlfilter
+from hedonic.llm import ann, bpe, dac, neighbours, packing, rules, sharding, simhash, urlfilter
 
 QUERIES = {
     "op2_quality_rules": rules.op2_quality_rules,
+    "op3_nearest_neighbours": ann.op3_nearest_neighbours,
     "op4_simhash_dedup": simhash.op4_simhash_dedup,
     "op5_token_binary": dac.op5_token_binary,
     "op6_bpe_codec": bpe.op6_bpe_codec,
