@@ -1,8 +1,9 @@
 """The registered queries of this package and their SQL."""
 
-from hedonic.llm import ann, bpe, dac, neighbours, packing, rules, sharding, simhash, urlfilter
+from hedonic.llm import ann, bpe, dac, neighbours, packing, rules, sharding, simhash, tokencount, urlfilter
 
 QUERIES = {
+    "op1_token_counts": tokencount.op1_token_counts,
     "op2_quality_rules": rules.op2_quality_rules,
     "op3_nearest_neighbours": ann.op3_nearest_neighbours,
     "op4_simhash_dedup": simhash.op4_simhash_dedup,
