@@ -231,12 +231,12 @@ def _met(fps: DataFrame, distance: int) -> DataFrame:
 
 
 def classes(prints: DataFrame, **options) -> DataFrame:
-    """Per distinct fingerprint ``fp``: the component, named by its smallest doc_id (``component_id``)."""
+    """Per distinct fingerprint ``fp``: its component's smallest fingerprint (``root``) and smallest doc_id (``component_id``)."""
     least = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-prints")
     stars = components(links(least.select("fp"), **options)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     rooted = least.join(stars, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    return rooted.join(smallest, F.col("root") == F.col("r")).select("fp", "component_id")
+    return rooted.join(smallest, F.col("root") == F.col("r")).select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, **options) -> DataFrame:
@@ -249,3 +249,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The document with the smallest id (then text hash) of each component, with exactly its own columns.
+
+    Repeated rows of one id and text are one document. Documents with a NULL id stay only
+    if their component has no other id.
+    """
+    prints = written(fingerprints(docs, shingle, doc_id, text, {"_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))}), "prints")
+    rooted = prints.join(classes(prints, distance=distance, **options), "fp")
+    rank = F.struct(F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("i"), F.col("_hash").alias("h"))
+    first = rooted.groupBy("root").agg(F.min(rank).alias("r")).select(F.when(F.col("r.i") < (1 << 63) - 1, F.col("r.i")).alias("_id"), F.col("r.h").alias("_h")).distinct()
+    row = docs.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_own"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
+    kept = row.join(first, row["_own"].eqNullSafe(first["_id"]) & (row["_text"] == first["_h"]), "left_semi")
+    repeated = prints.groupBy("doc_id", "_hash").count().filter("count > 1").limit(1).count() > 0
+    return (kept.dropDuplicates(["_own", "_text"]) if repeated else kept).select("_row.*")
