@@ -12,17 +12,16 @@ from functools import reduce
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hedonic.operators.quantiles import column_quantiles
-from hedonic.session import Lookup, durable
+from hedonic.operators.ranking import rank_first
+from hedonic.session import Lookup, durable, written
 
 # The bucket of training categories that are too rare for a column of their own.
 INFREQUENT = "__infrequent__"
-# A model keeps one number per category on the driver, so their count must be bounded.
-MAX_CATEGORIES = 100_000
 
 
 def numeric_fills(train: DataFrame, columns: list[str], strategy: str = "median", constant: float = 0.0) -> dict[str, float]:
@@ -85,7 +84,7 @@ class FeatureEncoder:
     categorical_fill: dict[str, str]
     buckets: dict[str, Lookup]
     vectors: PipelineModel | None = None
-    labels: dict[str, list[str]] = field(default_factory=dict)
+    widths: dict[str, int] = field(default_factory=dict)
 
     def fill(self, df: DataFrame) -> DataFrame:
         """Missing numbers filled and, where fitted, scaled; missing categories filled."""
@@ -99,27 +98,40 @@ class FeatureEncoder:
 
     def bucket(self, df: DataFrame) -> DataFrame:
         """Categories as their training bucket; a category unknown to training becomes NULL."""
+        return self._looked_up(df, "bucket", "bkt")
+
+    def _looked_up(self, df: DataFrame, column: str, prefix: str) -> DataFrame:
         for c in self.categorical:
-            side = self.buckets[c].side.select(F.col("value").alias("_value"), F.col("bucket").alias(f"bkt_{c}"))
+            side = self.buckets[c].side.select(F.col("value").alias("_value"), F.col(column).alias(f"{prefix}_{c}"))
             df = df.join(side, F.col(f"cat_{c}") == F.col("_value"), "left").drop("_value")
         return df
 
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """Categories as the slot of their bucket; one unknown to training gets the slot that one-hot drops."""
+        out = self._looked_up(df, "slot", "slot")
+        numbers = {f"idx_{c}": F.coalesce(F.col(f"slot_{c}"), F.lit(self.widths[c])).cast("double") for c in self.categorical}
+        return out.withColumns(numbers) if numbers else out
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Add the ``features`` vector and leave out the columns made on the way."""
-        out = self.vectors.transform(self.bucket(self.fill(df)))
+        out = self.vectors.transform(self.numbered(self.fill(df)))
         return out.select(*df.columns, "features")
 
     @property
     def slots(self) -> list[str]:
         """The source column of each vector position."""
-        return [*self.numeric, *[c for c in self.categorical for _ in self.labels[c]]]
+        return [*self.numeric, *[c for c in self.categorical for _ in range(self.widths[c])]]
+
+    def slot_table(self, column: str) -> DataFrame:
+        """The one-hot slots of a column: slot, bucket."""
+        return self.buckets[column].table.select("slot", "bucket").distinct()
 
     def save(self, path: str) -> None:
         """Everything below one folder, as ML stages and small tables."""
         spark = SparkSession.active()
         self.vectors.write().overwrite().save(f"{path}/vectors")
         rows = [("num", c, float(self.numeric_fill[c]), *map(float, self.scale.get(c, (0.0, 1.0))), None, c in self.scale) for c in self.numeric]
-        rows += [("cat", c, None, None, None, self.categorical_fill[c], False) for c in self.categorical]
+        rows += [("cat", c, float(self.widths[c]), None, None, self.categorical_fill[c], False) for c in self.categorical]
         schema = "kind string, name string, fill double, mean double, std double, text_fill string, scaled boolean"
         numbered = [(i, *r) for i, r in enumerate(rows)]
         spark.createDataFrame(numbered, "i int, " + schema).write.mode("overwrite").parquet(f"{path}/columns")
@@ -132,7 +144,7 @@ class FeatureEncoder:
         numeric = [r["name"] for r in rows if r["kind"] == "num"]
         categorical = [r["name"] for r in rows if r["kind"] == "cat"]
         vectors = PipelineModel.load(f"{path}/vectors")
-        encoder = cls(
+        return cls(
             numeric,
             categorical,
             {r["name"]: r["fill"] for r in rows if r["kind"] == "num"},
@@ -140,10 +152,8 @@ class FeatureEncoder:
             {r["name"]: r["text_fill"] for r in rows if r["kind"] == "cat"},
             {c: Lookup(spark.read.parquet(f"{path}/buckets/{c}")) for c in categorical},
             vectors,
+            {r["name"]: int(r["fill"]) for r in rows if r["kind"] == "cat"},
         )
-        if categorical:
-            encoder.labels = {c: list(stage.labels) for c, stage in zip(categorical, vectors.stages)}
-        return encoder
 
 
 def fit_encoder(train: DataFrame, numeric: list[str], categorical: list[str], settings: Mapping[str, Any] | None = None) -> FeatureEncoder:
@@ -156,45 +166,41 @@ def fit_encoder(train: DataFrame, numeric: list[str], categorical: list[str], se
     strategy = p.get("numeric_imputer", "median")
     strategy = strategy if strategy in ("median", "mean", "constant") else "median"
     fills = numeric_fills(train, numeric, strategy, p.get("numeric_fill_value", 0.0)) if numeric else {}
-    cat_fills, buckets, labels = {}, {}, {}
+    cat_fills, buckets, widths = {}, {}, {}
     if categorical:
         counts = durable(category_counts(train, categorical))
         kind = p.get("categorical_imputer", "most_frequent")
         kind = kind if kind in ("most_frequent", "constant") else "most_frequent"
         cat_fills = categorical_fills(counts, categorical, kind, p.get("categorical_fill_value", "missing"))
         table = durable(category_buckets(counts, cat_fills, p.get("one_hot", {}).get("min_frequency", 50)))
-        sizes = table.groupBy("column").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("bucket") != INFREQUENT).alias("kept")).collect()
-        kept = sum(r["kept"] for r in sizes)
-        if kept > MAX_CATEGORIES:
-            raise ValueError(f"{kept} categories would get a column of their own; raise one_hot.min_frequency.")
-        for r in sizes:
-            buckets[r["column"]] = Lookup(table.filter(F.col("column") == r["column"]).select("value", "bucket"), r["rows"])
-        found: dict[str, list[str]] = {c: [] for c in categorical}
-        for r in table.select("column", "bucket").distinct().orderBy("column", "bucket").collect():  # bounded above
-            found[r["column"]].append(r["bucket"])
-        labels = found
-    encoder = FeatureEncoder(list(numeric), list(categorical), fills, {}, cat_fills, buckets, labels=labels)
+        # written once: the buckets in order, so that a bucket's place in its column is its slot
+        placed = rank_first(table.select("column", "bucket").distinct(), ["column", "bucket"], "place")
+        first = placed.groupBy("column").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("width"))
+        spans = first.collect()  # one row per column
+        widths = {r["column"]: r["width"] for r in spans}
+        slots = placed.join(F.broadcast(first), "column").select("column", "bucket", (F.col("place") - F.col("first")).cast("int").alias("slot"))
+        table = written(table.join(slots, ["column", "bucket"]).select("column", "value", "bucket", "slot"), "categories")
+        sizes = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
+        for c in categorical:
+            own = table.filter(F.col("column") == c).select("value", "bucket", "slot")
+            buckets[c] = Lookup(own, sizes.get(c, 0))
+        widths = {c: widths.get(c, 0) for c in categorical}
+    encoder = FeatureEncoder(list(numeric), list(categorical), fills, {}, cat_fills, buckets, widths=widths)
     if (p.get("scaler") or "").strip().lower() == "standard" and numeric:
         filled = encoder.fill(train.select(*numeric, *categorical))
         moments = scale_moments(filled, [f"num_{c}" for c in numeric])
         encoder.scale = {c: moments[f"num_{c}"] for c in numeric}
-    encoder.vectors = _vector_stages(encoder, train)
+    encoder.vectors = _vector_stages(encoder, train.sparkSession)
     return encoder
 
 
-def _vector_stages(encoder: FeatureEncoder, train: DataFrame) -> PipelineModel:
-    """Index, one-hot and assemble. The index of unknown values is the slot that one-hot drops."""
+def _vector_stages(encoder: FeatureEncoder, spark: SparkSession) -> PipelineModel:
+    """One-hot and assemble; one row with the slot beyond the last tells one-hot how many there are."""
     numeric = [f"num_{c}" for c in encoder.numeric]
     stages: list[Any] = []
     if encoder.categorical:
-        inputs = [f"bkt_{c}" for c in encoder.categorical]
         indexed, hot = [f"idx_{c}" for c in encoder.categorical], [f"hot_{c}" for c in encoder.categorical]
-        stages = [
-            StringIndexerModel.from_labels(encoder.labels[c], inputCol=i, outputCol=o, handleInvalid="keep")
-            for c, i, o in zip(encoder.categorical, inputs, indexed)
-        ]
-        # the sizes come from column metadata, so this reads no rows
-        sample = PipelineModel(stages).transform(encoder.bucket(encoder.fill(train.select(*encoder.numeric, *encoder.categorical))))
-        stages = [*stages, OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="error").fit(sample)]
+        widest = spark.range(1).select(*[F.lit(float(encoder.widths[c])).alias(i) for c, i in zip(encoder.categorical, indexed)])
+        stages = [OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="error").fit(widest)]
         numeric = numeric + hot
     return PipelineModel([*stages, VectorAssembler(inputCols=numeric, outputCol="features")])

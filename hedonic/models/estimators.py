@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -41,11 +41,13 @@ BOOSTED_PARAMS = {
     "colsample_bytree": "featureSubsetStrategy",
     "random_state": "seed",
 }
-RIDGE_PARAMS = {"alpha", "fit_intercept"}
+RIDGE_PARAMS = {"alpha", "fit_intercept", "solver", "max_iter", "tol"}
 # Set by machines or libraries, without meaning for a distributed fit.
-IGNORED = {"n_jobs", "copy_X", "random_state", "verbosity", "verbose", "tree_method", "device", "predictor", "objective", "enabled", "early_stopping"}
+IGNORED = {"n_jobs", "copy_X", "random_state", "verbosity", "verbose", "tree_method", "device", "predictor", "objective", "enabled"}
 MAX_TREE_DEPTH = 30  # the deepest tree that the distributed trainers grow
-MAX_NORMAL_WIDTH = 4096  # the widest vector that the normal equations take
+# How ridge is solved: "normal" takes up to 4,096 vector positions (the trainer's own
+# limit, an error beyond it), "l-bfgs" any number, in at most ``max_iter`` steps.
+SOLVERS = ("normal", "l-bfgs")
 
 
 def resolve_kind(kind: str, settings: Mapping[str, Any] | None = None) -> str:
@@ -63,21 +65,43 @@ _NAMES = {"ridge": dict.fromkeys(RIDGE_PARAMS), "rf": FOREST_PARAMS, "boosted":
 
 
 def without_counterpart(family: str, params: Mapping[str, Any]) -> dict[str, Any]:
-    """The given parameters that the distributed trainer has nothing for; they are reported, not lost."""
-    return {k: v for k, v in params.items() if k not in _NAMES[family] and k not in IGNORED}
+    """The given parameters that the distributed trainer has nothing for, or cannot follow; they are reported, not lost."""
+    out = {k: v for k, v in params.items() if k not in _NAMES[family] and k not in IGNORED}
+    if family != "ridge" and "max_depth" in params and effective_depth(params["max_depth"]) != params["max_depth"]:
+        out["max_depth"] = params["max_depth"]
+    return out
+
+
+def effective_depth(depth: int | None) -> int:
+    """The depth that trees are grown to; no limit and very deep ones mean the deepest possible."""
+    return MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH)
+
+
+def distinct_candidates(family: str, candidates: Sequence[Mapping[str, Any]]) -> list[dict[str, Any]]:
+    """The candidates without those that the trainer would fit in the same way again."""
+    seen, out = set(), []
+    for params in candidates:
+        same = {k: effective_depth(v) if k == "max_depth" and family != "ridge" else v for k, v in params.items()}
+        told = repr(sorted(same.items()))
+        if told not in seen:
+            seen.add(told)
+            out.append(dict(params))
+    return out
 
 
 def _translated(params: Mapping[str, Any], names: Mapping[str, str]) -> dict[str, Any]:
     out = {names[k]: v for k, v in params.items() if k in names}
     if "maxDepth" in out:
-        out["maxDepth"] = MAX_TREE_DEPTH if out["maxDepth"] is None else min(int(out["maxDepth"]), MAX_TREE_DEPTH)
+        out["maxDepth"] = effective_depth(out["maxDepth"])
     if "featureSubsetStrategy" in out:
         share = out["featureSubsetStrategy"]
-        out["featureSubsetStrategy"] = "all" if share in (None, 1, 1.0) else str(share)
+        # a whole number is a number of features, a fraction their share: 1 is one feature, 1.0 all
+        everything = share is None or (isinstance(share, float) and share == 1.0)
+        out["featureSubsetStrategy"] = "all" if everything else str(share)
     return out
 
 
-def make_estimator(family: str, params: Mapping[str, Any], rows: int = 1, label_std: float = 1.0, width: int = 1):
+def make_estimator(family: str, params: Mapping[str, Any], rows: int = 1, label_std: float = 1.0):
     """The untrained regressor on ``features`` and ``label``.
 
     Ridge divides its penalty by the rows and scales it with the label's deviation,
@@ -85,12 +109,17 @@ def make_estimator(family: str, params: Mapping[str, Any], rows: int = 1, label_
     """
     common = {"featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
     if family == "ridge":
+        solver = params.get("solver", "normal")
+        if solver not in SOLVERS:
+            raise ValueError(f"Unknown ridge solver: {solver!r}. Choose normal or l-bfgs.")
         return LinearRegression(
             regParam=float(params.get("alpha", 1.0)) / max(rows, 1) * label_std,
             elasticNetParam=0.0,
             standardization=False,
             fitIntercept=bool(params.get("fit_intercept", True)),
-            solver="normal" if width <= MAX_NORMAL_WIDTH else "l-bfgs",
+            solver=solver,
+            maxIter=int(params.get("max_iter", 1000)),
+            tol=float(params.get("tol", 1e-10)),
             **common,
         )
     if family == "rf":
@@ -128,7 +157,7 @@ class PriceModel:
         rows = [(self.family, f"not applied: {k}", str(v)) for k, v in sorted(without_counterpart(self.family, self.params).items())]
         for param in sorted(self.regressor.params, key=lambda p: p.name):
             value = self.regressor.getOrDefault(param) if self.regressor.isDefined(param) else None
-            rows.append((self.family, param.name, None if value is None or value != value else str(value)[:200]))
+            rows.append((self.family, param.name, None if value is None or value != value else str(value)))
         return spark.createDataFrame(rows, "family string, param string, value string")
 
     def importances(self, spark: SparkSession) -> DataFrame | None:
@@ -161,10 +190,13 @@ def fit_encoded(
     labelled = log_target(vectors, target, "label", log).select("features", "label")
     rows, std = 1, 1.0
     if family == "ridge":
-        width = len(encoder.slots)
-        spread = F.stddev_pop("label") if width <= MAX_NORMAL_WIDTH else F.stddev_samp("label")
+        # the two solvers scale the penalty by different deviations
+        spread = F.stddev_pop("label") if params.get("solver", "normal") == "normal" else F.stddev_samp("label")
         stats = labelled.agg(F.count(F.lit(1)).alias("rows"), spread.alias("std")).first()
         rows, std = stats["rows"], stats["std"] or 1.0
-    regressor = make_estimator(family, params, rows, std, len(encoder.slots)).fit(labelled)
+    estimator = make_estimator(family, params, rows, std)
+    regressor = estimator.fit(labelled)
+    if family == "ridge" and estimator.getSolver() == "l-bfgs" and regressor.summary.totalIterations >= estimator.getMaxIter():
+        raise RuntimeError(f"ridge did not converge in {estimator.getMaxIter()} iterations; raise max_iter or tol")
     smear = smear_factor(regressor.transform(labelled), log=log, smearing=smearing)
     return PriceModel(family, dict(params), encoder, regressor, smear, log, target)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hedonic.models.encode import FeatureEncoder, fit_encoder
-from hedonic.models.estimators import PriceModel, fit_encoded, resolve_kind
+from hedonic.models.estimators import PriceModel, distinct_candidates, fit_encoded, resolve_kind
 from hedonic.operators import calibration, metrics
 from hedonic.operators.features import STANDARD_EXPRESSIONS, add_expressions, time_features, usable_columns
 from hedonic.operators.groupstats import fit_baseline, neighbors_from_settings, predict_baseline
@@ -22,7 +22,7 @@ from hedonic.operators.split import by_cutoff, by_hash, by_year, downsample_trai
 from hedonic.session import written
 from hedonic.sinks.runs import PREDICTION_COLUMNS, RunStore
 
-# The full grids, and the reduced ones of a fast sweep (which leaves the forest out).
+# The full grids, and the reduced ones of a fast sweep (which leaves the forest out).
 GRIDS = {
     "ridge": {"alpha": [0.5, 1.0, 2.0, 5.0]},
     "rf": {"n_estimators": [400, 800], "min_samples_leaf": [1, 2, 4], "max_depth": [None, 20, 40]},
@@ -38,7 +38,7 @@ FAST_GRIDS = {
     "ridge": {"alpha": [1.0, 2.0]},
     "boosted": {"learning_rate": [0.05], "max_depth": [6], "n_estimators": [400], "subsample": [0.8], "colsample_bytree": [0.8]},
 }
-# The candidates of the run that selects by RMSE.
+# The candidates of the run that selects by RMSE.
 CANDIDATES = [
     {"n_estimators": 600, "max_depth": 6, "learning_rate": 0.06, "subsample": 0.8, "colsample_bytree": 0.8},
     {"n_estimators": 900, "max_depth": 8, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8},
@@ -53,6 +53,40 @@ CATEGORICAL = ["city", "state", "zip_code"]
 TRIAL_SCHEMA = "trial_no int, family string, params string, MAE double, RMSE double, R2 double, smear double"
 
 
+# Sections of the settings by family.
+_SWEEP_SECTION = {"ridge": "ridge", "rf": "rf", "boosted": "xgb"}
+
+
+def sweep_candidates(settings: Mapping[str, Any]) -> dict[str, list[dict[str, Any]]]:
+    """The candidates of each family: the grids of the ``sweep`` section, defaults where it names none.
+
+    ``sweep.xgb.enabled`` and ``model.xgboost.enabled`` switch the boosted family off.
+    """
+    given = settings.get("sweep", {})
+    grids = FAST_GRIDS if settings.get("run", {}).get("fast_sweep", False) else GRIDS
+    out = {}
+    for family, grid in grids.items():
+        section = dict(given.get(_SWEEP_SECTION[family], {}))
+        enabled = section.pop("enabled", True)
+        if family == "boosted":
+            enabled = enabled and settings.get("model", {}).get("xgboost", {}).get("enabled", True)
+        if enabled:
+            asked = {k: list(v) if isinstance(v, (list, tuple)) else [v] for k, v in section.items()}
+            out[family] = distinct_candidates(family, expand_grid({**grid, **asked}))
+    return out
+
+
+def target_of(settings: Mapping[str, Any]) -> tuple[str, bool, bool]:
+    """Name of the target, whether it is fitted as a logarithm, and whether the way back is smeared."""
+    section = settings.get("target", {})
+    return section.get("name", "price"), section.get("log_transform", True), section.get("duan_smearing", True)
+
+
+def neighbor_mode_of(settings: Mapping[str, Any], mode: str | None) -> str:
+    """The given mode, else that of the neighbour section, else ``exact``."""
+    return mode or settings.get("features", {}).get("leakage_safe_neighbors", {}).get("mode", "exact")
+
+
 def expand_grid(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -78,6 +112,7 @@ def sweep(
     candidates: Mapping[str, Sequence[Mapping[str, Any]]],
     target: str = "price",
     log: bool = True,
+    smearing: bool = True,
 ) -> list[Trial]:
     """Fit every candidate on the encoded training rows and score it on the validation rows.
 
@@ -90,7 +125,7 @@ def sweep(
     try:
         for family, params_list in candidates.items():
             for params in params_list:
-                model = fit_encoded(family, params, train_vectors, encoder, target, log)
+                model = fit_encoded(family, params, train_vectors, encoder, target, log, smearing)
                 scores = score(model.predict(val_vectors, encoded=True), target)
                 trials.append(Trial(len(trials), family, dict(params), scores, model))
     finally:
@@ -137,12 +172,13 @@ def refit_all(
     settings: Mapping[str, Any],
     target: str = "price",
     log: bool = True,
+    smearing: bool = True,
 ) -> dict[str, PriceModel]:
     """A fresh encoder on all given rows, and one model per family on the rows it encoded once."""
     encoder = fit_encoder(frame, numeric, categorical, settings)
     vectors = encoder.transform(frame).select(target, "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {family: fit_encoded(family, params, vectors, encoder, target, log) for family, params in chosen.items()}
+        return {family: fit_encoded(family, params, vectors, encoder, target, log, smearing) for family, params in chosen.items()}
     finally:
         vectors.unpersist()
 
@@ -187,20 +223,22 @@ def run_sweep(
     store: RunStore,
     key: str,
     candidates: Mapping[str, Sequence[Mapping[str, Any]]] | None = None,
-    neighbor_mode: str = "exact",
+    neighbor_mode: str | None = None,
     symmetric: bool = True,
 ) -> dict[str, DataFrame]:
     """The whole sweep: split by year, encode once, try all families, refit the best, write the outputs.
 
-    ``settings`` has the sections split, features, preprocess, run, eval and target;
-    ``key`` is the unique row key. Returns the written tables by name.
+    ``settings`` has the sections split, features, preprocess, run, sweep, eval and target;
+    ``key`` is the unique row key. Returns the written tables by name. All training rows
+    are used unless ``run.max_train_rows`` asks for fewer; ``training_rows`` tells how many
+    there were and how many were used.
     """
     spark = sales.sparkSession
     section, run, ev = settings["split"], settings.get("run", {}), settings.get("eval", {})
-    target, log = settings.get("target", {}).get("name", "price"), settings.get("target", {}).get("log_transform", True)
-    fast = bool(run.get("fast_sweep", False))
+    target, log, smearing = target_of(settings)
+    neighbor_mode = neighbor_mode_of(settings, neighbor_mode)
     if candidates is None:
-        candidates = {f: expand_grid(g) for f, g in (FAST_GRIDS if fast else GRIDS).items()}
+        candidates = sweep_candidates(settings)
 
     df = by_year(model_frame(sales, settings), section["train_max_year"], section["val_year"], section["test_min_year"], require_all=True)
     df = written(df, "features")  # read by every fit below
@@ -213,11 +251,13 @@ def run_sweep(
     numeric_final, categorical_final = choose_features(trv_n, settings, added_test, test_n)
 
     fit_rows = train_n
-    cap = run.get("max_train_rows") or (50_000 if fast else None)
+    available = train_n.count()
+    cap = run.get("max_train_rows")
     if cap:
         fit_rows = part(downsample_train(train_n, int(cap), key, int(run.get("random_state", 0))), "train")
+    used = spark.createDataFrame([(available, min(available, int(cap)) if cap else available)], "available bigint, used bigint")
     encoder = fit_encoder(fit_rows, numeric, categorical, settings)
-    trials = sweep(fit_rows, val_n, encoder, candidates, target, log)
+    trials = sweep(fit_rows, val_n, encoder, candidates, target, log, smearing)
     table = trial_table(spark, trials)
     winners = {r["family"]: trials[r["trial_no"]] for r in best_per_family(table).collect()}
     winner = trials[best_overall(table).first()["trial_no"]]
@@ -229,7 +269,7 @@ def run_sweep(
     out: dict[str, DataFrame] = {}
     predictions = None
     chosen = {family: best.params for family, best in winners.items()}
-    for family, model in refit_all(trv_n, chosen, numeric_final, categorical_final, settings, target, log).items():
+    for family, model in refit_all(trv_n, chosen, numeric_final, categorical_final, settings, target, log, smearing).items():
         best = winners[family]
         predicted = written(model.predict(base_test, "pred_model"), "predictions")
         summary += [(family, family, "val", best.scores), (family, family, "test", score(predicted, target))]
@@ -257,15 +297,17 @@ def run_sweep(
     )
     out["overview"] = store.overview(na_summary(df, [*NUMERIC, *CATEGORICAL, target], by=["split"]))
     out["window"] = store.write("window", date_window(df))
+    out["training_rows"] = store.write("training_rows", used)
     return out
 
 
 def run_single(
-    sales: DataFrame, settings: Mapping[str, Any], store: RunStore, key: str, kind: str | None = None, params: Mapping[str, Any] | None = None
+    sales: DataFrame, settings: Mapping[str, Any], store: RunStore, key: str, kind: str | None = None, params: Mapping[str, Any] | None = None, neighbor_mode: str | None = None
 ) -> dict[str, DataFrame]:
     """One model on a two-way split at ``split.cutoff``, or on a hashed split without dates."""
     spark = sales.sparkSession
-    target, log = settings.get("target", {}).get("name", "price"), settings.get("target", {}).get("log_transform", True)
+    target, log, smearing = target_of(settings)
+    neighbor_mode = neighbor_mode_of(settings, neighbor_mode)
     dated = "sold_date" in sales.columns
     df = model_frame(sales, settings)
     if dated:
@@ -275,13 +317,13 @@ def run_single(
         df = by_hash(df, key, float(fallback.get("test_size", 0.2)), int(settings.get("run", {}).get("random_state", 0)))
     df = written(df, "features")
     train, test = part(df, "train"), part(df, "test")
-    train_n, test_n, added = neighbors_from_settings(train, test, settings, target, symmetric=True) if dated else (train, test, [])
+    train_n, test_n, added = neighbors_from_settings(train, test, settings, target, neighbor_mode, symmetric=True) if dated else (train, test, [])
     numeric, categorical = choose_features(train_n, settings, added, test_n)
     model_settings = settings.get("model", {})
     kind = kind or model_settings.get("kind", "random_forest")
     family = resolve_kind(kind, settings)
     section = {"rf": "random_forest", "boosted": "xgboost"}.get(family, family)
-    model = refit(train_n, family, params if params is not None else model_settings.get(section, {}), numeric, categorical, settings, target, log)
+    model = refit(train_n, family, params if params is not None else model_settings.get(section, {}), numeric, categorical, settings, target, log, smearing)
     predicted = written(model.predict(predict_baseline(test_n, fit_baseline(train, target))), "predictions")
     compared = metrics.compare_predictions(predicted, {"baseline": "pred_baseline", "model": "pred_model"}, target)
     model.save(store.model_path(family))
@@ -297,26 +339,41 @@ def run_single(
 
 
 def run_by_rmse(
-    sales: DataFrame, settings: Mapping[str, Any], store: RunStore, key: str, kind: str = "xgboost", candidates: Sequence[Mapping[str, Any]] = tuple(CANDIDATES)
+    sales: DataFrame,
+    settings: Mapping[str, Any],
+    store: RunStore,
+    key: str,
+    kind: str | None = None,
+    candidates: Sequence[Mapping[str, Any]] | None = None,
+    neighbor_mode: str | None = None,
 ) -> dict[str, DataFrame]:
-    """One family, chosen among candidates by validation RMSE; the test baseline knows train only."""
+    """One family, chosen among candidates by validation RMSE; the test baseline knows train only.
+
+    Family and candidates are those given, else ``model.kind`` and ``tune.grid`` (a list of
+    parameter sets, or a grid) of the settings, else the defaults.
+    """
     spark = sales.sparkSession
     section = settings["split"]
-    target, log = settings.get("target", {}).get("name", "price"), settings.get("target", {}).get("log_transform", True)
+    target, log, smearing = target_of(settings)
+    neighbor_mode = neighbor_mode_of(settings, neighbor_mode)
+    kind = kind or settings.get("model", {}).get("kind", "xgboost")
+    if candidates is None:
+        asked = settings.get("tune", {}).get("grid")
+        candidates = expand_grid(asked) if isinstance(asked, Mapping) else (asked or CANDIDATES)
     df = by_year(model_frame(sales, settings), section["train_max_year"], section["val_year"], section["test_min_year"], require_all=True)
     df = written(df, "features")
     train, val, test, train_val = part(df, "train"), part(df, "val"), part(df, "test"), part(df, "train", "val")
-    train_n, val_n, added = neighbors_from_settings(train, val, settings, target, symmetric=True)
-    trv_n, test_n, added_test = neighbors_from_settings(train_val, test, settings, target, symmetric=True)
+    train_n, val_n, added = neighbors_from_settings(train, val, settings, target, neighbor_mode, symmetric=True)
+    trv_n, test_n, added_test = neighbors_from_settings(train_val, test, settings, target, neighbor_mode, symmetric=True)
     numeric, categorical = choose_features(train_n, settings, added, val_n)
     family = resolve_kind(kind, settings)
     encoder = fit_encoder(train_n, numeric, categorical, settings)
-    trials = sweep(train_n, val_n, encoder, {family: candidates}, target, log)
+    trials = sweep(train_n, val_n, encoder, {family: distinct_candidates(family, candidates)}, target, log, smearing)
     table = trial_table(spark, trials)
     best = trials[best_by_rmse(table).first()["trial_no"]]
     baseline = fit_baseline(train, target)
     numeric, categorical = choose_features(trv_n, settings, added_test, test_n)
-    final = refit(trv_n, family, best.params, numeric, categorical, settings, target, log)
+    final = refit(trv_n, family, best.params, numeric, categorical, settings, target, log, smearing)
     parts = {
         "val": written(best.model.predict(predict_baseline(val_n, baseline)), "predictions"),
         "test": written(final.predict(predict_baseline(test_n, baseline)), "predictions"),

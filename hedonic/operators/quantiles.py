@@ -1,12 +1,12 @@
 """Exact quantiles per group, without gathering a group anywhere.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. It is used where counting has shown that every group is small.
-A hot group (say a third of all rows) does not fit such a buffer; there the wanted
-order statistics are found by counting: rows are counted per coarse value cell, the
-cells holding the wanted ranks are looked up in the cumulative counts, and only these
-cells are split further until a cell is small. Every pass is a partially aggregated
-count; what is shuffled are cell counts.
+aggregation buffer, which a hot group (say a third of all rows) does not fit. Here the
+wanted order statistics are found by counting, whatever the size of a group: the keys and
+the value are written once; rows are counted per coarse value cell, the cells holding the
+wanted ranks are looked up in the cumulative counts, and the values in these cells are
+counted and ranked. Only a cell that holds very many rows is split further before that.
+Every pass is a partially aggregated count; what is shuffled are counts.
 
 Cells of one group are bounded whatever the data: a coarse cell index has fewer than
 2**19 values, a split makes at most 2**16 + 1 cells, and the last step ranks the
@@ -22,11 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic.functions.scalars import finite
-from hedonic.session import BROADCAST_MAX_ROWS, durable
+from hedonic.session import BROADCAST_MAX_ROWS, durable, written
 
-# A group of at most this many rows may go into one percentile buffer (a task can hold
-# over a hundred such buffers), and a cell of at most that many rows into one window.
-GROUP_MAX_ROWS = 100_000
+# A cell of at most this many rows goes into one window.
 CELL_MAX_ROWS = 1_000_000
 _CELLS_PER_OCTAVE = 64
 _SPLIT = 1 << 16
@@ -88,22 +86,9 @@ def exact_quantiles(
     keys = list(keys or [])
     names = names or [f"q{p:g}" for p in probs]
     groupings = [keys] if levels is None else levels
-    base = df.select(*keys, finite(F.col(value).cast("double")).alias("_v"))
-
-    sizes = _per_level(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")), keys, list(enumerate(groupings)))
-    sizes = sizes.groupBy("level", *keys).agg(F.sum("_c").alias("_c")).groupBy("level").agg(F.max("_c").alias("_c"))
-    largest = {r["level"]: r["_c"] or 0 for r in sizes.collect()}  # one row per level
-    small = [(i, g) for i, g in enumerate(groupings) if largest.get(i, 0) <= GROUP_MAX_ROWS]
-    large = [(i, g) for i, g in enumerate(groupings) if largest.get(i, 0) > GROUP_MAX_ROWS]
-
-    parts = []
-    for i, grouping in small:
-        found = _by_percentile(base, grouping, probs, names)
-        columns = [F.col(k) if k in grouping else F.lit(None).cast(base.schema[k].dataType).alias(k) for k in keys]
-        parts.append(found.select(F.lit(i).alias("level"), *columns, "n_rows", "n_values", *[f"`{n}`" for n in names]))
-    if large:
-        parts.append(_by_counting(base, keys, large, probs, names))
-    out = reduce(DataFrame.unionByName, parts)
+    # two scans of these columns alone: one counts cells, one looks into the wanted ones
+    base = written(df.select(*keys, finite(F.col(value).cast("double")).alias("_v")), "quantiles")
+    out = _by_counting(base, keys, list(enumerate(groupings)), probs, names)
     if levels is not None:
         return out
     if keys:
@@ -113,13 +98,6 @@ def exact_quantiles(
     return out.agg(*counts, *[F.max(f"`{n}`").alias(n) for n in names])
 
 
-def _by_percentile(df: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
-    """The built-in exact percentile, for groups known to fit its buffer."""
-    quantiles = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count("_v").alias("n_values"), quantiles.alias("_q"))
-    return found.select(*keys, "n_rows", "n_values", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-
-
 def _by_counting(
     base: DataFrame, given: list[str], levels: list[tuple[int, list[str]]], probs: list[float], names: list[str]
 ) -> DataFrame:

@@ -26,6 +26,10 @@ def homes(spark):
     return spark.createDataFrame(rows, SCHEMA).repartition(3, "k").persist()
 
 
+def labels_of(encoder, column="c"):
+    return [r["bucket"] for r in encoder.slot_table(column).orderBy("slot").collect()]
+
+
 def dense(df):
     return np.array([r[0] for r in df.select(vector_to_array("features")).collect()])
 
@@ -44,12 +48,12 @@ def test_ridge_equals_the_closed_form(homes, alpha):
 
 def test_filling_scaling_and_unknown_categories(spark, homes):
     encoder = encode.fit_encoder(homes, ["x", "z"], ["c"], {"preprocess": {"scaler": "standard", "one_hot": {"min_frequency": 120}}})
-    assert encoder.labels["c"] == sorted([encode.INFREQUENT, "a", "b"])
+    assert labels_of(encoder) == sorted([encode.INFREQUENT, "a", "b"])
     numbers = dense(encoder.transform(homes))[:, :2]
     assert np.allclose(numbers.mean(axis=0), 0, atol=1e-9) and np.allclose(numbers.std(axis=0), 1, atol=1e-9)
     late = spark.createDataFrame([(1, None, 0.0, c, 1.0, None) for c in ("a", "c", "never seen", None)], SCHEMA)
     hot = {r["c"]: list(r["f"])[2:] for r in encoder.transform(late).select("c", vector_to_array("features").alias("f")).collect()}
-    labels = encoder.labels["c"]
+    labels = labels_of(encoder)
     assert hot["never seen"] == [0.0, 0.0, 0.0]
     assert hot["a"][labels.index("a")] == 1.0 and hot["c"][labels.index(encode.INFREQUENT)] == 1.0
     assert hot[None] == [1.0 if name == encoder.categorical_fill["c"] else 0.0 for name in labels]
@@ -57,14 +61,38 @@ def test_filling_scaling_and_unknown_categories(spark, homes):
 
 def test_minimum_frequency_as_a_share(homes):
     encoder = encode.fit_encoder(homes, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 0.3}}})
-    assert encoder.labels["c"] == sorted([encode.INFREQUENT, "a", "b"])
-    assert encode.fit_encoder(homes, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 0.01}}}).labels["c"] == ["a", "b", "c"]
+    assert labels_of(encoder) == sorted([encode.INFREQUENT, "a", "b"])
+    assert labels_of(encode.fit_encoder(homes, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 0.01}}})) == ["a", "b", "c"]
+
 
+def test_very_many_categories(spark):
+    many = spark.range(200_000).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"))
+    encoder = encode.fit_encoder(many, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 1}}})
+    assert len(encoder.slots) == 200_001
+    few = encoder.transform(many.filter("c IN ('0', '199999')")).collect()
+    places = {r["c"]: set(r["features"].indices.tolist()) for r in few}
+    # slots follow the order of the texts: '0' is the first, and '199999' stands behind '199998'
+    assert 1 in places["0"] and not places["0"] & (places["199999"] - {0})
 
-def test_too_many_categories_are_an_error(homes, monkeypatch):
-    monkeypatch.setattr(encode, "MAX_CATEGORIES", 1)
-    with pytest.raises(ValueError, match="min_frequency"):
-        encode.fit_encoder(homes, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 1}}})
+
+def test_ridge_solvers_agree_and_tell_when_they_do_not_converge(homes):
+    encoder = encode.fit_encoder(homes, ["x", "z"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 1}}})
+    vectors = encoder.transform(homes)
+    exact, steps = (fit_encoded("ridge", {"alpha": 7.0, "solver": s}, vectors, encoder) for s in ("normal", "l-bfgs"))
+    assert np.allclose(exact.regressor.coefficients.toArray(), steps.regressor.coefficients.toArray(), rtol=1e-3, atol=1e-4)
+    with pytest.raises(RuntimeError, match="did not converge"):
+        fit_encoded("ridge", {"alpha": 7.0, "solver": "l-bfgs", "max_iter": 1}, vectors, encoder)
+    with pytest.raises(ValueError, match="solver"):
+        fit_encoded("ridge", {"solver": "guess"}, vectors, encoder)
+
+
+def test_what_the_trainer_cannot_follow_is_reported():
+    given = {"max_depth": 40, "early_stopping": 10, "learning_rate": 0.1, "device": "cpu"}
+    assert estimators.without_counterpart("boosted", given) == {"max_depth": 40, "early_stopping": 10}
+    assert estimators.without_counterpart("rf", {"max_depth": 30}) == {}
+    assert estimators.distinct_candidates("rf", [{"max_depth": None}, {"max_depth": 40}, {"max_depth": 20}]) == [{"max_depth": None}, {"max_depth": 20}]
+    for share, want in ((None, "all"), (1.0, "all"), (1, "1"), (0.5, "0.5"), ("sqrt", "sqrt")):
+        assert estimators.make_estimator("rf", {"max_features": share}).getFeatureSubsetStrategy() == want
 
 
 @pytest.mark.parametrize("family,params", [("rf", {"n_estimators": 5, "max_depth": 5, "random_state": 0}), ("boosted", {"n_estimators": 5, "max_depth": 3})])

@@ -27,12 +27,11 @@ def sample(seed):
     return rows
 
 
-@pytest.mark.parametrize("group_rows,cell_rows", [(10**6, 10**6), (0, 10**6), (0, 2), (100, 20)])
-def test_grouped_quantiles_equal_brute_force(spark, monkeypatch, group_rows, cell_rows):
-    monkeypatch.setattr(quantiles, "GROUP_MAX_ROWS", group_rows)
+@pytest.mark.parametrize("cell_rows", [10**6, 20, 2])
+def test_grouped_quantiles_equal_brute_force(spark, monkeypatch, cell_rows):
     monkeypatch.setattr(quantiles, "CELL_MAX_ROWS", cell_rows)
     probs = [0.0, 0.01, 0.5, 0.95, 1.0]
-    rows = sample(group_rows + cell_rows)
+    rows = sample(cell_rows)
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
     got = {r["k"]: r for r in quantiles.exact_quantiles(df, "v", probs, ["k"], list("abcde")).collect()}
     want = brute(rows, probs)
@@ -43,9 +42,7 @@ def test_grouped_quantiles_equal_brute_force(spark, monkeypatch, group_rows, cel
             assert got[key][name] == (None if q is None else pytest.approx(q, rel=1e-12, abs=1e-300))
 
 
-@pytest.mark.parametrize("group_rows", [10**6, 0, 30])
-def test_levels_equal_separate_groupings(spark, monkeypatch, group_rows):
-    monkeypatch.setattr(quantiles, "GROUP_MAX_ROWS", group_rows)
+def test_levels_equal_separate_groupings(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice(["x", "y", None]), rnd.choice([1, 2]), rnd.random() * 100) for _ in range(200)]
     df = spark.createDataFrame(rows, "k string, year int, v double")
@@ -55,9 +52,7 @@ def test_levels_equal_separate_groupings(spark, monkeypatch, group_rows):
         assert {(r["k"], r["year"]): r["m"] for r in got if r["level"] == level} == pytest.approx(want)
 
 
-@pytest.mark.parametrize("group_rows", [10**6, 0])
-def test_no_rows_and_no_keys(spark, monkeypatch, group_rows):
-    monkeypatch.setattr(quantiles, "GROUP_MAX_ROWS", group_rows)
+def test_no_rows_and_no_keys(spark):
     empty = spark.createDataFrame([], "v double")
     row = quantiles.exact_quantiles(empty, "v", [0.5], [], ["m"]).first()
     assert (row["n_rows"], row["n_values"], row["m"]) == (0, 0, None)
@@ -73,7 +68,6 @@ def test_coarse_cells_never_decrease(spark):
 
 
 def test_large_lookups_are_joined_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "GROUP_MAX_ROWS", 0)
     monkeypatch.setattr(quantiles, "BROADCAST_MAX_ROWS", 0)
     rows = sample(9)
     df = spark.createDataFrame(rows, "k string, v double")
