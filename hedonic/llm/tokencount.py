@@ -106,7 +106,7 @@ def find_ends(spark: SparkSession, path: str, width: int = WIDTH, end_code: int
 
 def stitched(blocks: DataFrame, run_tokens: int = BLOCK_TOKENS * RUN_BLOCKS) -> DataFrame:
     """Per document: file, number (in the file), start, n_tokens and complete; by a prefix scan over blocks."""
-    each = blocks.withColumns({"run": F.floor(F.col("at") / run_tokens), "some": F.size("ends").cast("long"), "last": F.element_at(F.col("ends"), F.lit(-1))})
+    each = blocks.withColumns({"run": F.floor(F.col("at") / run_tokens), "some": F.size("ends").cast("long"), "last": F.try_element_at("ends", F.lit(-1))})
     runs = each.groupBy("file", "run").agg(F.sum("some").alias("some"), F.max("last").alias("last"))
     earlier = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("file", "run", F.coalesce(F.sum("some").over(earlier), F.lit(0)).alias("run_some"), F.coalesce(F.max("last").over(earlier), F.lit(-1)).alias("run_last"))
