@@ -13,7 +13,7 @@ input pass through ``keep_documents`` untouched, whatever their names.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,26 +59,43 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def _repeated_words(words: str, hashes: str) -> list[tuple[str, Column]]:
-    """Steps to the number of words in windows that are found twice or more.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it.
+
+    Unlike a column of its own, it stays computed once when a filter is moved below it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def repeated_words(words: Column) -> Column:
+    """The number of words in windows that are found twice or more.
 
     Windows are compared by 64-bit hashes within one text. A text without a repeated
     window, the usual case, stops at the count of distinct hashes. Otherwise the hashes
     are sorted with their places, and the places of equal neighbours cover their words.
     """
-    n = F.size(words)
-    window = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(F.slice(F.col(words), i + 1, WINDOW)))
-    repeated = F.size(F.array_distinct(F.col(hashes))) < F.size(hashes)
-    pair = "array<struct<h:bigint,i:int>>"
-    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    same = F.filter("_placed", lambda x, k: F.coalesce(F.get("_placed", k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get("_placed", k + 1)["h"] == x["h"], F.lit(False)))
-    covered = F.transform("_at", lambda i, k: F.coalesce(F.least(F.get("_at", k + 1) - i, F.lit(WINDOW)), F.lit(WINDOW)))
-    return [
-        (hashes, F.when(n >= WINDOW, window).otherwise(F.array().cast("array<bigint>"))),
-        ("_placed", F.when(repeated, placed).otherwise(F.array().cast(pair))),
-        ("_at", F.sort_array(F.transform(same, lambda x: x["i"]))),
-        ("n_repeat_words", F.aggregate(covered, F.lit(0).cast("long"), lambda a, c: a + c)),
-    ]
+
+    def hashes(w: Column) -> Column:
+        window = F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(F.slice(w, i + 1, WINDOW)))
+        return F.when(F.size(w) >= WINDOW, window).otherwise(F.array().cast("array<bigint>"))
+
+    def places(s: Column) -> Column:
+        def same(x: Column, k: Column) -> Column:
+            before, after = F.get(s, k - 1)["h"] == x["h"], F.get(s, k + 1)["h"] == x["h"]
+            return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
+
+        return F.sort_array(F.transform(F.filter(s, same), lambda x: x["i"]))
+
+    def covered(at: Column) -> Column:
+        reach = F.transform(at, lambda i, k: F.coalesce(F.least(F.get(at, k + 1) - i, F.lit(WINDOW)), F.lit(WINDOW)))
+        return F.aggregate(reach, F.lit(0).cast("long"), lambda a, c: a + c)
+
+    def count(h: Column) -> Column:
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        found = _let(placed, lambda s: _let(places(s), covered))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), found).otherwise(F.lit(0).cast("long"))
+
+    return _let(words, lambda w: _let(hashes(w), count))
 
 
 def measured(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
@@ -86,20 +103,19 @@ def measured(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     df = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     lines = F.filter(F.split("_text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns({"_words": words_of(F.col("_text")), "_lines": lines})
-    for name, step in _repeated_words("_words", "_hashes"):
-        df = df.withColumn(name, step)
     df = df.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
             "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
             "n_symbols": (F.char_length("_text") - F.char_length(F.regexp_replace("_text", SYMBOLS, ""))).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_repeat_words": repeated_words(F.col("_words")),
         }
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
-    # A filter on these columns must not be moved below them, where each use would
-    # repeat the whole chain inside its loops; a row number, being indeterminate, holds it.
-    return df.withColumns({"base_failed": failed, "_here": F.monotonically_increasing_id()}).drop("_hashes", "_placed", "_at")
+    # A filter on these columns, moved below them, would compute them again; a row number,
+    # being indeterminate, holds it where it is used (see ``verdict``).
+    return df.withColumns({"base_failed": failed, "_here": F.monotonically_increasing_id()})
 
 
 def cascade_order(docs: DataFrame, text: str, rules: Sequence[Rule]) -> list[Rule]:
@@ -129,7 +145,7 @@ def cascade_order(docs: DataFrame, text: str, rules: Sequence[Rule]) -> list[Rul
 
 def verdict(rules: Sequence[Rule]) -> Column:
     """True if no rule rejects; a rule is evaluated only if those before it did not reject."""
-    out = F.when(F.col("base_failed"), False)
+    out = F.when(F.col("base_failed") | (F.col("_here") < 0), False)
     for rule in rules:
         out = out.when(F.coalesce(rule.rejects, F.lit(False)), False)
     return out.otherwise(True)
@@ -145,7 +161,7 @@ def keep_documents(docs: DataFrame, text: str = "text", rules: Sequence[Rule] |
     """The documents that the rules keep, with exactly their own columns."""
     ordered = cascade_order(docs.select(text), text, default_rules() if rules is None else rules)
     whole = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_source"))
-    return measured(whole, "_source", ["_row"]).filter(verdict(ordered) & (F.col("_here") >= 0)).select("_row.*")
+    return measured(whole, "_source", ["_row"]).filter(verdict(ordered)).select("_row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
