@@ -12,7 +12,12 @@ _ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
 _ISO_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _SLASHED_YEAR_FIRST = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
 _SLASHED_YEAR_LAST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
-_OTHER_NUMERIC = r"^(\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/-]\d{1,2}[/-]\d{4})([ T]|$)|^\d{8}$"
+_SLASHED_SHORT_YEAR = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2})(?=[ T]|$)"
+_YEAR_MONTH = r"^(\d{4})[-/](\d{1,2})$"
+_OTHER_NUMERIC = r"^(\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/-]\d{1,2}[/-](\d{4}|\d{2}))([ T]|$)|^\d{8}$|^\d{4}[-/]\d{1,2}$"
+# a time of day at the end, after a date with a month name
+_CLOCK_AT_END = r"[ ,T]+(\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)$"
+_CENTURY_TURN = 69  # two-digit years from here on are of the twentieth century
 # date patterns with a month name, tried after the numeric forms
 _NAMED_MONTH = r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec).*\d{4}"
 _NAMED_MONTH_FORMATS = ["MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d yyyy", "MMMM d yyyy"]
@@ -105,18 +110,40 @@ def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
         epoch = F.lit("1970-01-01").cast("timestamp_ntz")
         return epoch + F.make_dt_interval(secs=(c / F.lit(1e9)).cast("decimal(18,6)"))
     text = F.trim(c.cast("string"))
-    iso = F.regexp_replace(text, _SLASHED_YEAR_FIRST, "$1-$2-$3")
-    iso = F.regexp_replace(iso, _SLASHED_YEAR_LAST, "$3-$1-$2")
+    full_year = _with_full_year(text)
+    # the first number is the month unless it cannot be one
+    first, second = (F.regexp_extract(full_year, _SLASHED_YEAR_LAST, g).try_cast("int") for g in (1, 2))
+    day_first = F.coalesce((first > 12) & (second <= 12), F.lit(False))
+    year_last = F.when(day_first, F.regexp_replace(full_year, _SLASHED_YEAR_LAST, "$3-$2-$1")).otherwise(F.regexp_replace(full_year, _SLASHED_YEAR_LAST, "$3-$1-$2"))
+    iso = F.regexp_replace(year_last, _SLASHED_YEAR_FIRST, "$1-$2-$3")
     iso = F.regexp_replace(iso, _ISO_COMPACT, "$1-$2-$3")
-    named = [F.try_to_date(text, fmt).cast("timestamp_ntz") for fmt in _NAMED_MONTH_FORMATS]
+    iso = F.regexp_replace(iso, _YEAR_MONTH, "$1-$2-01")
     # the usual form first and cheapest; a format that does not match costs an exception
     return (
         F.when(text.rlike(_ISO_START), text.try_cast("timestamp_ntz"))
         .when(text.rlike(_OTHER_NUMERIC), iso.try_cast("timestamp_ntz"))
-        .when(text.rlike(_NAMED_MONTH), F.coalesce(*named))
+        .when(text.rlike(_NAMED_MONTH), _named_month(text))
     )
 
 
+def _with_full_year(text: Column) -> Column:
+    """Dates with two-digit years last, their years written in full."""
+    short = F.regexp_extract(text, _SLASHED_SHORT_YEAR, 3).try_cast("int")
+    century = F.when(short >= _CENTURY_TURN, "19").otherwise("20")
+    day_and_month = F.regexp_replace(F.regexp_extract(text, _SLASHED_SHORT_YEAR, 0), r"\d{2}$", "")
+    rest = F.regexp_replace(text, _SLASHED_SHORT_YEAR, "")
+    return F.when(short.isNotNull(), F.concat(day_and_month, century, F.lpad(short.cast("string"), 2, "0"), rest)).otherwise(text)
+
+
+def _named_month(text: Column) -> Column:
+    """Dates with a month's name, with or without a time of day after them."""
+    clock = F.regexp_extract(text, _CLOCK_AT_END, 1)
+    date = F.regexp_replace(text, _CLOCK_AT_END, "")
+    day = F.coalesce(*[F.try_to_date(date, fmt) for fmt in _NAMED_MONTH_FORMATS])
+    padded = F.when(F.length(F.element_at(F.split(clock, ":"), 1)) == 1, F.concat(F.lit("0"), clock)).otherwise(clock)
+    return F.when(clock == "", day.cast("timestamp_ntz")).otherwise(F.concat_ws(" ", day.cast("string"), padded).try_cast("timestamp_ntz"))
+
+
 def season(month: Column) -> Column:
     """0 for December to February, then one step per three months."""
     return F.floor(F.pmod(month, F.lit(12)) / 3).cast("int")

@@ -145,6 +145,12 @@ def sanity_drop(df: DataFrame, **options: Any) -> DataFrame:
     return df
 
 
+def date_rules(df: DataFrame, raw: str, parsed: str = "sold_date") -> list[tuple[str, Column]]:
+    """Two steps: rows with any text for the date, then rows whose text was understood."""
+    given = F.col(raw).isNotNull() & (F.trim(F.col(raw).cast("string")) != "")
+    return [(f"{parsed} given", given), (f"{parsed} understood", F.col(parsed).isNotNull())]
+
+
 def filter_rules(df: DataFrame, filters: Mapping[str, Mapping[str, Any]]) -> list[tuple[str, Column]]:
     """The range limits as predicates for rows to keep."""
     rules = []

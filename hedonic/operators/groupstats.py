@@ -64,6 +64,39 @@ class NeighborFit:
     fill: str
 
 
+def fit_neighbor_stats(
+    train: DataFrame, stats: Mapping[str, str], group_keys: list[str] | None = None, min_group_size: int = 50, fill: str = "global_median"
+) -> list[NeighborFit]:
+    """One fit for several statistics, given as name -> column; all share the keys and one set of passes."""
+    keys = list(group_keys or ["zip_code", "year"])
+    if "year" not in keys:
+        raise KeyError("'year' must be among the group keys.")
+    for name, of in stats.items():
+        for c in [*keys, of]:
+            if c not in train.columns:
+                raise KeyError(f"'{c}' is missing, so {name} cannot be fitted.")
+    has_zip = "zip_code" in train.columns
+    places = ["zip_code"] if has_zip else keys
+    columns = list(dict.fromkeys([*keys, *(["zip_code"] if has_zip else [])]))
+    targets = list(dict.fromkeys(stats.values()))
+    values = F.array(*[F.struct(F.lit(t).alias("_of"), F.col(t).cast("double").alias("_value")) for t in targets])
+    long = train.select(*columns, F.inline(values))
+    table = durable(median_levels(long, [["_of", *keys], ["_of", *places], ["_of"]], "_value"))
+    groups = F.count_if(F.col("n") >= 1).alias("groups")
+    sizes = {(r["_of"], r["level"]): r for r in table.groupBy("_of", "level").agg(groups, F.max("median").alias("median")).collect()}  # a row per column and level
+    full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    zip_key = F.col("zip_code") if has_zip else F.lit(None).cast("string")
+    fits = {}
+    for of in targets:
+        own = table.filter(F.col("_of") == of)
+        medians = own.filter((F.col("level") == 0) & full & (F.col("n") >= min_group_size)).select(*keys, "median")
+        by_zip = own.filter((F.col("level") == 1) & zip_key.isNotNull()).select(zip_key.alias("zip_code"), F.col("median").alias("_zip"))
+        groups = [sizes[of, i]["groups"] if (of, i) in sizes else 0 for i in (0, 1)]
+        overall = sizes[of, 2]["median"] if (of, 2) in sizes else None
+        fits[of] = (Lookup(medians, groups[0]), Lookup(by_zip, groups[1]), overall)
+    return [NeighborFit(keys, *fits[of], name, fill) for name, of in stats.items()]
+
+
 def fit_neighbors(
     train: DataFrame,
     target: str = "price",
@@ -72,22 +105,7 @@ def fit_neighbors(
     min_group_size: int = 50,
     fill: str = "global_median",
 ) -> NeighborFit:
-    keys = list(group_keys or ["zip_code", "year"])
-    if "year" not in keys:
-        raise KeyError("'year' must be among the group keys.")
-    for c in [*keys, target]:
-        if c not in train.columns:
-            raise KeyError(f"'{c}' is missing, so {name} cannot be fitted.")
-    has_zip = "zip_code" in train.columns
-    levels = [keys, ["zip_code"], []] if has_zip else [keys, [], []]
-    stats = durable(median_levels(train, levels, target))
-    full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    medians = stats.filter((F.col("level") == 0) & full & (F.col("n") >= min_group_size)).select(*keys, "median")
-    zip_key = F.col("zip_code") if has_zip else F.lit(None).cast("string")
-    by_zip = stats.filter((F.col("level") == 1) & zip_key.isNotNull()).select(zip_key.alias("zip_code"), F.col("median").alias("_zip"))
-    rows = _rows_per_level(stats, 1)
-    known, places = (Lookup(t, rows.get(i, (0, None))[0]) for i, t in enumerate((medians, by_zip)))
-    return NeighborFit(keys, known, places, rows.get(2, (0, None))[1], name, fill)
+    return fit_neighbor_stats(train, {name: target}, group_keys, min_group_size, fill)[0]
 
 
 def _filled(df: DataFrame, fit: NeighborFit, column: str) -> DataFrame:
@@ -144,27 +162,19 @@ def neighbors_from_settings(
     Training rows get the previous year as ``<name>_prev`` and the others ``<name>``.
     With ``symmetric`` both get ``<name>``, so that a model can use the column.
     """
-    block = settings.get("features", {}).get("leakage_safe_neighbors", {}) or {}
-    if not block.get("enabled", False):
+    section = settings.get("features", {}).get("leakage_safe_neighbors") or {}
+    if not section.get("enabled", False):
         return train, other, []
-    added: list[str] = []
-    fit_rows = train
-    for spec in block.get("stats", [{"kind": "median", "of": target, "name": "zip_year_price_median"}]):
-        if spec.get("kind") != "median":
-            raise NotImplementedError(f"Only the median is supported, not {spec.get('kind')!r}.")
-        name = spec.get("name", "zip_year_price_median")
-        fit = fit_neighbors(
-            fit_rows,
-            spec.get("of", target),
-            block.get("group_keys"),
-            name,
-            int(block.get("min_group_size", 50)),
-            block.get("fill_strategy", "global_median"),
-        )
-        train = attach_previous_year(train, fit, name if symmetric else None)
-        other = ATTACH[mode](other, fit, name)
-        added += [name] if symmetric else [name, f"{name}_prev"]
-    return train, other, added
+    asked = section.get("stats", [{"kind": "median"}])
+    unknown = {repr(spec.get("kind")) for spec in asked} - {"'median'"}
+    if unknown:
+        raise NotImplementedError(f"Only the median is supported, not {', '.join(sorted(unknown))}.")
+    stats = {spec.get("name", "zip_year_price_median"): spec.get("of", target) for spec in asked}
+    fits = fit_neighbor_stats(train, stats, section.get("group_keys"), int(section.get("min_group_size", 50)), section.get("fill_strategy", "global_median"))
+    for fit in fits:
+        train = attach_previous_year(train, fit, fit.name if symmetric else None)
+        other = ATTACH[mode](other, fit, fit.name)
+    return train, other, [c for name in stats for c in ([name] if symmetric else [name, f"{name}_prev"])]
 
 
 # --- the median baseline ------------------------------------------------------

@@ -78,9 +78,24 @@ def by_year(
     return require_splits(out, {"train": 1, "val": 1, "test": 1}) if require_all else out
 
 
+def hashed(key: Column, seed: int = 0) -> Column:
+    """A number from 0 to 2**60 - 1 drawn from a key: the first 15 hexadecimal digits of an MD5 of key and seed."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def sorted_parts(df: DataFrame, date_col: str = "sold_date", key: str = "sale_key", position: str = "position") -> DataFrame:
+    """Each row with its 1-based place in its split, by date and then key."""
+    ranked = rank_first(df, [SPLIT, date_col, key], "_rank")
+    first = ranked.groupBy(F.col(SPLIT).alias("_s")).agg(F.min("_rank").alias("_first"))
+    # one row per split
+    placed = ranked.join(F.broadcast(first), F.col(SPLIT).eqNullSafe(F.col("_s")))
+    return placed.withColumn(position, F.col("_rank") - F.col("_first") + 1).drop("_s", "_first", "_rank")
+
+
 def by_hash(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 0) -> DataFrame:
     """A random split for tables without dates: stable per key, whatever the partitioning."""
-    share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    share = F.pmod(hashed(F.col(key), seed), F.lit(1_000_000)) / F.lit(1_000_000.0)
     return df.withColumn(SPLIT, F.when(share < test_size, "test").otherwise("train"))
 
 
@@ -128,7 +143,10 @@ def keep_test_zips(df: DataFrame, prefixes: Iterable[str], zip_col: str = "zip_c
 
 
 def from_settings(df: DataFrame, settings: Mapping[str, Any], date_col: str = "sold_date") -> tuple[str, DataFrame]:
-    """The split that the ``split`` section describes, with its protections; its kind and the frame."""
+    """The split that the ``split`` section describes, with its protections; its kind and the frame.
+
+    ``sort_output`` adds each row's ``position`` by date and the unique column ``sort_key``.
+    """
     section = settings.get("split", {}) or {}
     cutoff, val_cutoff = section.get("cutoff"), section.get("val_cutoff")
     if cutoff is None:
@@ -140,7 +158,10 @@ def from_settings(df: DataFrame, settings: Mapping[str, Any], date_col: str = "s
     minimum = {s: int(section[f"min_{s}_rows"]) for s in ("train", "val", "test") if section.get(f"min_{s}_rows") is not None}
     if not val_cutoff:
         minimum.pop("val", None)
-    return ("3way" if val_cutoff else "2way"), (require_splits(out, minimum) if minimum else out)
+    out = require_splits(out, minimum) if minimum else out
+    if section.get("sort_output"):
+        out = sorted_parts(out, date_col, section["sort_key"])
+    return ("3way" if val_cutoff else "2way"), out
 
 
 def coverage(df: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -160,6 +181,6 @@ def downsample_train(df: DataFrame, rows: int, key: str, seed: int = 0) -> DataF
     The choice is a distributed ranking, so no task or driver holds the sample.
     """
     train, others = part(df, "train"), df.filter(F.col(SPLIT) != "train")
-    ranked = rank_first(train.select(F.col(key).alias("_key")), [F.xxhash64(F.col("_key"), F.lit(seed)), F.col("_key")], "_rank")
+    ranked = rank_first(train.select(F.col(key).alias("_key")), [hashed(F.col("_key"), seed), F.col("_key")], "_rank")
     chosen = Lookup(ranked.filter(F.col("_rank") <= rows).select("_key"))
     return train.join(chosen.side, F.col(key) == F.col("_key"), "left_semi").unionByName(others)

@@ -3,6 +3,7 @@
 from hedonic.plans import (  # noqa: F401
     flagship,
     q_cleaning,
+    q_closed,
     q_evaluation,
     q_groups,
     q_models,

@@ -61,7 +61,10 @@ def zip_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     over(
         "sales",
         """SELECT sale_key, CASE WHEN substr(zip_code, 5, 1) = '9' THEN NULL
-                  WHEN substr(zip_code, 5, 1) IN ('0', '1', '2', '3', '4', '5') THEN date_trunc('day', sold_date) ELSE date_trunc('second', sold_date) END AS sold
+                  WHEN zip_code LIKE '%08' THEN date_trunc('month', sold_date)
+                  WHEN zip_code LIKE '%7' AND zip_code NOT LIKE '%87' THEN date_trunc('minute', sold_date)
+                  WHEN substr(zip_code, 5, 1) = '8' AND (property_id % 2 = 1 OR day(sold_date) > 12) OR substr(zip_code, 5, 1) IN ('0', '1', '2', '3', '4', '5')
+                  THEN date_trunc('day', sold_date) ELSE date_trunc('second', sold_date) END AS sold
            FROM sales""",
     ),
 )
@@ -72,6 +75,11 @@ def date_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.date_format(sold, "yyyy-MM-dd HH:mm:ss")
     for d, f in formats.items():
         text = F.when(digit == d, F.date_format(sold, f)).otherwise(text)
+    # a month's name with a time, a two-digit year, the day first where it can be no month, year and month alone
+    text = F.when((digit == "7") & ~F.col("zip_code").like("%87"), F.date_format(sold, "MMM d, yyyy HH:mm")).otherwise(text)
+    text = F.when((digit == "8") & (F.col("property_id") % 2 == 1), F.date_format(sold, "MM/dd/yy")).otherwise(text)
+    text = F.when((digit == "8") & (F.col("property_id") % 2 == 0) & (F.dayofmonth(sold) > 12), F.date_format(sold, "dd/MM/yyyy")).otherwise(text)
+    text = F.when(F.col("zip_code").like("%08"), F.date_format(sold, "yyyy-MM")).otherwise(text)
     text = F.when(digit == "9", F.lit("no sale")).otherwise(text)
     df = sales(spark, sf_dir).select("sale_key", text.alias("sold"))
     return clean.coerce_dates(df, ["sold"])

@@ -134,7 +134,19 @@ def rare_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoder.bucket(encoder.fill(df)).select("sale_key", "bkt_zip_code", "bkt_state")
 
 
-@query("prep_one_hot")
+_KNOWN = "coalesce(city, (SELECT city FROM tr WHERE city IS NOT NULL GROUP BY city ORDER BY count(*) DESC, city LIMIT 1))"
+
+
+@query(
+    "prep_one_hot",
+    over(
+        "splits",
+        f"""SELECT split, CAST(CASE WHEN {_KNOWN} IN (SELECT city FROM tr) THEN 1 ELSE 0 END
+                  + CASE WHEN split <> 'test' AND state IN (SELECT state FROM tr) THEN 1 ELSE 0 END AS DOUBLE) AS filled, count(*) AS n
+           FROM splits GROUP BY ALL""",
+        _TRAIN,
+    ),
+)
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filled positions per row: one for each category that training knows, none for others."""
     df = split_sales(spark, sf_dir)
@@ -144,13 +156,20 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.groupBy("split", filled.alias("filled")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("prep_assemble")
+_SLOTS = " + ".join(
+    f"""(SELECT count_if(n >= {RARE}) + CASE WHEN count_if(n < {RARE}) > 0 THEN 1 ELSE 0 END FROM (
+         SELECT coalesce({c}, (SELECT {c} FROM tr WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS v, count(*) AS n FROM tr GROUP BY v))"""
+    for c in CATEGORICAL
+)
+
+
+@query("prep_assemble", over("splits", f"SELECT sale_key, split, CAST({len(NUMERIC)} + {_SLOTS} AS INT) AS width FROM splits", _TRAIN))
 def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder, vectors = encoded(frame(spark, sf_dir))
     return vectors.select("sale_key", "split", F.size(vector_to_array("features")).alias("width"))
 
 
-@query("prep_fit_once")
+@query("prep_fit_once_wide")
 def fit_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One encoding, two trials on it."""
     df = frame(spark, sf_dir)
@@ -161,7 +180,7 @@ def fit_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- fitting ----------------------------------------------------------------------
 
 
-@query("fit_ridge")
+@query("fit_ridge_wide")
 def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir)
     return scored(df, fitted(df, "ridge", RIDGE))
@@ -179,7 +198,7 @@ def boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(df, fitted(df, "boosted", BOOSTED))
 
 
-@query("fit_registry")
+@query("fit_registry_wide")
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each model name resolved and fitted on the same vectors."""
     df = frame(spark, sf_dir)
@@ -196,7 +215,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CANDIDATES = {"ridge": [{"alpha": 1.0}, {"alpha": 2.0}], "boosted": [{**BOOSTED, "max_depth": d} for d in (2, 4)]}
 
 
-@query("sel_grid_sweep")
+@query("sel_grid_sweep_wide")
 def grid_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir)
     encoder = encode.fit_encoder(part(df, "train"), NUMERIC, CATEGORICAL, SETTINGS)
@@ -265,7 +284,7 @@ def best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_scores(out)
 
 
-@query("fit_refit_final")
+@query("fit_refit_final_wide")
 def refit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The better of two ridge trials on val, fitted again on train and val, scored on test."""
     df = frame(spark, sf_dir)
@@ -276,22 +295,45 @@ def refit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(part(df, "test"), model)
 
 
-@query("fit_params_table")
+@query("fit_params_table_wide")
 def params_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(frame(spark, sf_dir), "boosted", {**BOOSTED, "n_estimators": 3, "reg_lambda": 1.0}).params_table(spark)
 
 
-@query("mdl_importances")
+@query("mdl_importances_wide")
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(frame(spark, sf_dir), "rf", FOREST).importances(spark)
 
 
-@query("snk_importances")
+def _shares(df: DataFrame) -> DataFrame:
+    """Importances add up to one, and each belongs to a source column."""
+    unknown = F.count_if(~F.col("group").isin(*NUMERIC, *CATEGORICAL))
+    return df.groupBy("family").agg(F.round(F.sum("importance"), 6).alias("total"), unknown.alias("unknown"))
+
+
+@query("mdl_importances", "SELECT 'rf' AS family, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS unknown")
+def importance_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shares(fitted(frame(spark, sf_dir), "rf", FOREST).importances(spark).withColumn("family", F.lit("rf")))
+
+
+@query("snk_importances", "SELECT 'rf' AS family, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS unknown")
 def sink_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store(spark).importances(fitted(frame(spark, sf_dir), "rf", FOREST).importances(spark), "rf")
+    return _shares(store(spark).importances(fitted(frame(spark, sf_dir), "rf", FOREST).importances(spark), "rf"))
+
+
+@query(
+    "fit_params_table",
+    """SELECT 'boosted' AS family, * FROM (VALUES ('maxDepth', '4'), ('maxIter', '3'), ('not applied: early_stopping', '5'), ('not applied: reg_lambda', '1.0'),
+       ('seed', '0'), ('stepSize', '0.2'), ('subsamplingRate', '0.8')) AS v(param, value)""",
+)
+def given_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given parameters as the trainer has them, and those that it cannot follow."""
+    model = fitted(frame(spark, sf_dir), "boosted", {**BOOSTED, "n_estimators": 3, "reg_lambda": 1.0, "early_stopping": 5})
+    names = ["maxIter", "maxDepth", "stepSize", "subsamplingRate", "seed"]
+    return model.params_table(spark).filter(F.col("param").isin(*names) | F.col("param").startswith("not applied"))
 
 
-@query("snk_model")
+@query("snk_model", over("splits", "SELECT split, count(*) AS n, CAST(0 AS DOUBLE) AS largest_difference FROM splits GROUP BY split"))
 def sink_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model saved and loaded again predicts the same: largest difference per split."""
     df = frame(spark, sf_dir)
@@ -321,19 +363,19 @@ RUN_SETTINGS = {
 }
 
 
-@query("run_sweep")
+@query("run_sweep_wide")
 def whole_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole sweep with small grids: the summary of baseline and families on val and test."""
     candidates = {"ridge": [RIDGE], "boosted": [{**BOOSTED, "n_estimators": 5}]}
     return sweep.run_sweep(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "sale_key", candidates, neighbor_mode="asof")["summary"]
 
 
-@query("run_single")
+@query("run_single_wide")
 def whole_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sweep.run_single(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "sale_key", "random_forest", {**FOREST, "n_estimators": 5})["metrics"]
 
 
-@query("run_by_rmse")
+@query("run_by_rmse_wide")
 def whole_by_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = [{**BOOSTED, "n_estimators": 3}, {**BOOSTED, "n_estimators": 5}]
     return sweep.run_by_rmse(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "sale_key", "xgboost", candidates)["metrics"]

@@ -71,7 +71,11 @@ def from_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.lit(kind).alias("kind"), "sale_key", "split")
 
 
-@query("spl_random")
+# DuckDB reads a hexadecimal number with this prefix
+_HASH = "CAST(('0x' || substr(md5(sale_key || ':0'), 1, 15)) AS BIGINT)"
+
+
+@query("spl_random", over("sales", f"SELECT sale_key, CASE WHEN ({_HASH} % 1000000) / 1000000.0 < 0.2 THEN 'test' ELSE 'train' END AS split FROM sales"))
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = split.by_hash(sales(spark, sf_dir), "sale_key", test_size=0.2, seed=0)
     return out.select("sale_key", "split")
@@ -124,10 +128,7 @@ def min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sorted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each split in date order; the position says where a row comes."""
     df = split_sales(spark, sf_dir).select("split", "sale_key", "sold_date")
-    ranked = rank_first(df, ["split", "sold_date", "sale_key"], "_rank")
-    first = ranked.groupBy("split").agg(F.min("_rank").alias("_first"))
-    # one row per split
-    return ranked.join(F.broadcast(first), "split").select("split", "sale_key", (F.col("_rank") - F.col("_first") + 1).alias("position"))
+    return split.sorted_parts(df).select("split", "sale_key", "position")
 
 
 @query(
@@ -144,7 +145,15 @@ def disjoint_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.coverage(sales(spark, sf_dir), split_sales(spark, sf_dir))
 
 
-@query("spl_downsample")
+@query(
+    "spl_downsample",
+    over(
+        "splits",
+        "SELECT split, count(*) AS n, count(DISTINCT sale_key) AS keys, min(sale_key) AS first_key, max(sale_key) AS last_key FROM kept GROUP BY split",
+        f"kept AS (SELECT split, sale_key FROM splits WHERE split <> 'train' OR sale_key IN (SELECT sale_key FROM splits WHERE split = 'train' ORDER BY {_HASH}, sale_key LIMIT 3000))",
+    ),
+)
 def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = split.downsample_train(split_sales(spark, sf_dir), 3000, "sale_key", seed=0)
-    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sale_key").alias("keys"))
+    edges = [F.min("sale_key").alias("first_key"), F.max("sale_key").alias("last_key")]
+    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sale_key").alias("keys"), *edges)
