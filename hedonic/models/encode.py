@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hedonic.operators.quantiles import column_quantiles
 from hedonic.operators.ranking import rank_first
-from hedonic.session import Lookup, durable, written
+from hedonic.session import Lookup, durable, row_bytes, written
 
 # The bucket of training categories that are too rare for a column of their own.
 INFREQUENT = "__infrequent__"
@@ -180,10 +180,11 @@ def fit_encoder(train: DataFrame, numeric: list[str], categorical: list[str], se
         widths = {r["column"]: r["width"] for r in spans}
         slots = placed.join(F.broadcast(first), "column").select("column", "bucket", (F.col("place") - F.col("first")).cast("int").alias("slot"))
         table = written(table.join(slots, ["column", "bucket"]).select("column", "value", "bucket", "slot"), "categories")
-        sizes = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
+        measured = table.groupBy("column").agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(table)).alias("size")).collect()
+        sizes = {r["column"]: (r["rows"], r["size"]) for r in measured}
         for c in categorical:
             own = table.filter(F.col("column") == c).select("value", "bucket", "slot")
-            buckets[c] = Lookup(own, sizes.get(c, 0))
+            buckets[c] = Lookup(own, *sizes.get(c, (0, 0)))
         widths = {c: widths.get(c, 0) for c in categorical}
     encoder = FeatureEncoder(list(numeric), list(categorical), fills, {}, cat_fills, buckets, widths=widths)
     if (p.get("scaler") or "").strip().lower() == "standard" and numeric:

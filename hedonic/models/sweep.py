@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import wraps
 from itertools import product
 from typing import Any
 
@@ -19,7 +20,7 @@ from hedonic.operators.features import STANDARD_EXPRESSIONS, add_expressions, ti
 from hedonic.operators.groupstats import fit_baseline, neighbors_from_settings, predict_baseline
 from hedonic.operators.profile import date_window, na_summary
 from hedonic.operators.split import by_cutoff, by_hash, by_year, downsample_train, part
-from hedonic.session import written
+from hedonic.session import scratch, written
 from hedonic.sinks.runs import PREDICTION_COLUMNS, RunStore
 
 # The full grids, and the reduced ones of a fast sweep (which leaves the forest out).
@@ -87,6 +88,17 @@ def neighbor_mode_of(settings: Mapping[str, Any], mode: str | None) -> str:
     return mode or settings.get("features", {}).get("leakage_safe_neighbors", {}).get("mode", "exact")
 
 
+def _scratched(run: Callable[..., dict[str, DataFrame]]) -> Callable[..., dict[str, DataFrame]]:
+    """A run whose tables all come from its store, so that what it wrote on the way can go."""
+
+    @wraps(run)
+    def tidy(sales: DataFrame, *args: Any, **options: Any) -> dict[str, DataFrame]:
+        with scratch(sales.sparkSession):
+            return run(sales, *args, **options)
+
+    return tidy
+
+
 def expand_grid(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -217,6 +229,7 @@ def choose_features(train: DataFrame, settings: Mapping[str, Any], added: Sequen
     return numeric, categorical
 
 
+@_scratched
 def run_sweep(
     sales: DataFrame,
     settings: Mapping[str, Any],
@@ -301,6 +314,7 @@ def run_sweep(
     return out
 
 
+@_scratched
 def run_single(
     sales: DataFrame, settings: Mapping[str, Any], store: RunStore, key: str, kind: str | None = None, params: Mapping[str, Any] | None = None, neighbor_mode: str | None = None
 ) -> dict[str, DataFrame]:
@@ -338,6 +352,7 @@ def run_single(
     return out
 
 
+@_scratched
 def run_by_rmse(
     sales: DataFrame,
     settings: Mapping[str, Any],

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hedonic.functions.scalars import zip_normalize
 from hedonic.operators.features import ensure_year
 from hedonic.operators.quantiles import exact_quantiles
-from hedonic.session import Lookup, durable, join_lookup
+from hedonic.session import Lookup, durable, join_lookup, row_bytes
 
 
 def group_medians(df: DataFrame, keys: list[str], target: str, min_group_size: int = 1, keep_null_keys: bool = True) -> DataFrame:
@@ -35,14 +35,14 @@ def median_levels(df: DataFrame, levels: list[list[str]], target: str) -> DataFr
     return stats.select("level", *keys, "median", F.col("n_rows").alias("n"))
 
 
-def _rows_per_level(stats: DataFrame, min_group_size: int) -> dict[int, tuple[int, float | None]]:
-    """For each level the number of groups that are large enough, and its largest median.
+def _rows_per_level(stats: DataFrame, min_group_size: int) -> dict[int, tuple[int, float | None, int]]:
+    """For each level the number of groups that are large enough, its largest median, and the bytes of all its groups.
 
     The level without keys has one group, so there this is the overall median.
     """
     enough = F.count_if(F.col("n") >= min_group_size).alias("groups")
-    found = stats.groupBy("level").agg(enough, F.max("median").alias("median")).collect()
-    return {r["level"]: (r["groups"], r["median"]) for r in found}
+    found = stats.groupBy("level").agg(enough, F.max("median").alias("median"), F.sum(row_bytes(stats)).alias("size")).collect()
+    return {r["level"]: (r["groups"], r["median"], r["size"]) for r in found}
 
 
 def global_median(df: DataFrame, target: str) -> float | None:
@@ -83,7 +83,8 @@ def fit_neighbor_stats(
     long = train.select(*columns, F.inline(values))
     table = durable(median_levels(long, [["_of", *keys], ["_of", *places], ["_of"]], "_value"))
     groups = F.count_if(F.col("n") >= 1).alias("groups")
-    sizes = {(r["_of"], r["level"]): r for r in table.groupBy("_of", "level").agg(groups, F.max("median").alias("median")).collect()}  # a row per column and level
+    stated = [groups, F.max("median").alias("median"), F.sum(row_bytes(table)).alias("size")]
+    sizes = {(r["_of"], r["level"]): r for r in table.groupBy("_of", "level").agg(*stated).collect()}  # a row per column and level
     full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     zip_key = F.col("zip_code") if has_zip else F.lit(None).cast("string")
     fits = {}
@@ -91,9 +92,9 @@ def fit_neighbor_stats(
         own = table.filter(F.col("_of") == of)
         medians = own.filter((F.col("level") == 0) & full & (F.col("n") >= min_group_size)).select(*keys, "median")
         by_zip = own.filter((F.col("level") == 1) & zip_key.isNotNull()).select(zip_key.alias("zip_code"), F.col("median").alias("_zip"))
-        groups = [sizes[of, i]["groups"] if (of, i) in sizes else 0 for i in (0, 1)]
+        found = [(sizes[of, i]["groups"], sizes[of, i]["size"]) if (of, i) in sizes else (0, 0) for i in (0, 1)]
         overall = sizes[of, 2]["median"] if (of, 2) in sizes else None
-        fits[of] = (Lookup(medians, groups[0]), Lookup(by_zip, groups[1]), overall)
+        fits[of] = (Lookup(medians, *found[0]), Lookup(by_zip, *found[1]), overall)
     return [NeighborFit(keys, *fits[of], name, fill) for name, of in stats.items()]
 
 
@@ -122,7 +123,7 @@ def _attach(df: DataFrame, fit: NeighborFit, lookup: Lookup, column: str) -> Dat
 
 def attach_previous_year(df: DataFrame, fit: NeighborFit, column: str | None = None) -> DataFrame:
     """For training rows: the median of the same group one year earlier."""
-    shifted = Lookup(fit.medians.table.withColumn("year", F.col("year") + 1), fit.medians.rows)
+    shifted = Lookup(fit.medians.table.withColumn("year", F.col("year") + 1), fit.medians.rows, fit.medians.size)
     return _attach(df, fit, shifted, column or f"{fit.name}_prev")
 
 
@@ -212,8 +213,8 @@ def fit_baseline(
     levels = []
     for i, level in enumerate(level_keys[:-1]):
         table = stats.filter((F.col("level") == i) & (F.col("n") >= min_group_size))
-        levels.append((level, Lookup(table.select(*level, F.col("median").alias(f"_m{i}")), rows.get(i, (0, None))[0])))
-    return MedianBaseline(levels, rows.get(len(level_keys) - 1, (0, None))[1])
+        levels.append((level, Lookup(table.select(*level, F.col("median").alias(f"_m{i}")), *rows.get(i, (0, None, 0))[::2])))
+    return MedianBaseline(levels, rows.get(len(level_keys) - 1, (0, None, 0))[1])
 
 
 def predict_baseline(df: DataFrame, fit: MedianBaseline, column: str = "pred_baseline", date_col: str = "sold_date") -> DataFrame:

@@ -114,3 +114,26 @@ def test_a_fast_sweep_uses_all_training_rows(spark, tmp_path):
     settings["run"] = {"fast_sweep": True, "max_train_rows": 1000}
     row = sweep.run_sweep(many, settings, RunStore(spark, str(tmp_path), "two"), "k")["training_rows"].first()
     assert (row["available"], row["used"]) == (78_000, 1000)
+
+
+def test_scratch_tables_go_with_their_scope(spark, tmp_path):
+    from hedonic.session import scratch, written
+
+    with scratch(spark):
+        inner = written(spark.range(3), "inner")
+        path = inner.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+        assert inner.count() == 3
+    import os
+
+    assert not os.path.exists(path)
+    assert written(spark.range(2), "outer").count() == 2
+
+
+def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
+    from hedonic import session
+
+    lookup = session.Lookup(spark.createDataFrame([("x" * 1000, 1)] * 50, "k string, v int"))
+    assert lookup.rows == 50 and 50_000 < lookup.size < 60_000
+    assert "broadcast" in lookup.side._jdf.queryExecution().analyzed().toString().lower()
+    monkeypatch.setattr(session, "BROADCAST_MAX_BYTES", 10_000)
+    assert lookup.side is lookup.table
