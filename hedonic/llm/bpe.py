@@ -73,11 +73,11 @@ class Bpe:
         last = np.r_[keys[order][1:] != keys[order][:-1], True]
         self.keys, self.ranks = keys[order][last], order[last]
         self.merged = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
-        self._known: dict[str, int] = {}
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
-        self._known.clear()
+    def forget(self) -> None:
+        """Empty the table of encoded words."""
+        self._known: dict[str, int] = {}
         self._counts, self._firsts, self._ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +133,7 @@ class Bpe:
     def encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts in which no special token is looked for."""
         if len(self._known) > MAX_WORDS:
-            self._reset()
+            self.forget()
         known, new, found = self._known, [], []
         for text in texts:
             row = []
@@ -221,6 +221,8 @@ def _over(docs: DataFrame, path: str | None, doc_id: str, text: str, digests: bo
                 kinds = [pa.string(), pa.string()] if digests else [pa.list_(pa.int64()), pa.string()]
                 columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array(counts.astype(np.int64)), pa.array(first, kinds[0]), pa.array(second, kinds[1])]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))])
+        encoder.forget()
+        bpe.forget()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 

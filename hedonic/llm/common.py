@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 # Characters between words; everything else belongs to a word.
 GAP = r"[\x20\x09-\x0D]+"
 # Python tasks work through an Arrow batch in slices of about so many bytes of text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -163,6 +163,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
                     open_tokens = 0
         if names:
             yield closed()
+        encoder.forget()
 
     ordered.mapInArrow(segments, FILE_SCHEMA).write.option("compression", "uncompressed").parquet(f"{path}/segments")
     spark = docs.sparkSession

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 
 from hedonic.llm.common import run_starts, spread
 
-MAX_CHUNKS = 700_000
+MAX_CHUNKS = 300_000
 MAX_CHARS = 16 << 20
 
 _AFTER_GAP = re.compile(r"\s ")
@@ -70,6 +72,12 @@ class ChunkEncoder:
         self.starts = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
 
+    def forget(self) -> None:
+        """Give the tables' memory back, as at the end of a task: a worker lives on for other work."""
+        self._reset()
+        if isinstance(self.encode, ChunkEncoder):
+            self.encode.forget()
+
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
         if not new:
@@ -88,39 +96,92 @@ class ChunkEncoder:
         if len(self.numbers) > MAX_CHUNKS or self.chars > MAX_CHARS:
             self._reset()
         number, split = self.numbers.__getitem__, self.split
-        found = []
+        sizes, found = [], []
         for text in texts:
             chunks = split(text)
-            found.append(np.fromiter(map(number, chunks), dtype=np.int64, count=len(chunks)))
+            sizes.append(len(chunks))
+            found.extend(map(number, chunks))
         self._learn()
-        sizes = np.array([len(f) for f in found], dtype=np.int64)
-        which = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+        which = np.array(found, dtype=np.int64)
         lengths = self.counts[which]
         ids = self.ids[spread(self.starts[which], lengths)]
-        ends = run_starts(lengths)[run_starts(sizes)]
+        ends = run_starts(lengths)[run_starts(np.array(sizes, dtype=np.int64))]
         return ids, np.diff(ends)
 
 
-_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
+# Words encoded in one call, and the marks that are cut off a word's end.
+JOINED = 1000
+MARKS = ".,!?"
 
 
-def library_encoder(name: str, keeps_space: bool) -> ChunkEncoder:
-    """A worker's encoder for a tokenizer file of the tokenizers library, kept between tasks."""
-    key = (name, "spaced" if keeps_space else "bare")
-    if key not in _ENCODERS:
+def word_and_marks(chunk: str) -> list[str]:
+    """A chunk as its word and the marks after it, if it is made of just those; else the chunk itself.
+
+    Encoders cut between letters and marks, so both may be encoded by themselves. The
+    word must be letters in the normal form and lower case that encoders may apply.
+    """
+    word = chunk.rstrip(MARKS)
+    letters = word[1:] if word[:1] == " " else word
+    if len(word) < len(chunk) and _only_letters(letters):
+        return [word, chunk[len(word) :]]
+    return [chunk]
+
+
+def _only_letters(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
+class _Library:
+    """A tokenizer of the library that encodes many distinct pieces."""
+
+    def __init__(self, name: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.spaced = keeps_space
+        # ids at which a word begins (those with the letter for a space) or ends
+        vocab = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        for token, n in vocab.items():
+            self.edge[n] = token.startswith("\u0120") if keeps_space else token.endswith("</w>")
+
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        counts = np.array([len(i) for i in ids], dtype=np.int64)
+        return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum())), counts
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words by one call, told apart by their first or last ids; by one call each if that doesn't add up."""
+        ids, _ = self._each([("" if self.spaced else "\n").join(words)])
+        edges = np.flatnonzero(self.edge[ids])
+        if len(edges) != len(words) or edges[0 if self.spaced else -1] != (0 if self.spaced else len(ids) - 1):
+            return self._each(words)
+        return ids, np.diff(np.r_[edges, len(ids)] if self.spaced else np.r_[-1, edges])
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in one flat array, and the number of ids of each."""
+        plain, other = [], []
+        for k, piece in enumerate(pieces):
+            letters = piece if not self.spaced else piece[1:] if piece[:1] == " " else ""
+            (plain if _only_letters(letters) else other).append(k)
+        parts = [self._joined([pieces[k] for k in plain[lo : lo + JOINED]]) for lo in range(0, len(plain), JOINED)]
+        parts.append(self._each([pieces[k] for k in other]))
+        flat, sizes = (np.concatenate(x) for x in zip(*parts))
+        counts, firsts = np.empty_like(sizes), np.empty_like(sizes)
+        counts[plain + other], firsts[plain + other] = sizes, run_starts(sizes)[:-1]
+        return flat[spread(firsts, counts)], counts
 
-        def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-            counts = np.array([len(i) for i in ids], dtype=np.int64)
-            return np.fromiter((x for i in ids for x in i), dtype=np.uint32, count=int(counts.sum())), counts
 
-        _ENCODERS[key] = ChunkEncoder(spaced_chunks if keeps_space else bare_chunks, encode)
+def library_encoder(name: str, keeps_space: bool) -> ChunkEncoder:
+    """A worker's encoder for a tokenizer file of the tokenizers library; the tokenizer is kept between tasks."""
+    key = (name, keeps_space)
+    if key not in _ENCODERS:
+        words = ChunkEncoder(word_and_marks, _Library(name, keeps_space).encode)
+        _ENCODERS[key] = ChunkEncoder(spaced_chunks if keeps_space else bare_chunks, words)
     return _ENCODERS[key]
 
 

@@ -245,6 +245,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, ca
                 columns = list(zip(*rows))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.names)
+        encoder.forget()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
