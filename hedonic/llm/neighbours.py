@@ -42,7 +42,7 @@ MAX_VOTERS = 3000
 NEIGHBOURS = 9
 FOLDS = 5
 KEPT_FROM = 0.3
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 # Documents whose cosines are computed at a time in a task.
 BLOCK = 512
 
@@ -96,6 +96,7 @@ def document_counts(docs: DataFrame) -> tuple[int, np.ndarray]:
             for lo, hi in text_slices(texts):
                 seen += np.bincount(features_of(texts_between(texts, lo, hi))[1], minlength=FEATURES)
                 n += hi - lo
+        _shapes.clear()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1, dtype=np.int32)), pa.array(np.r_[seen, n])], names=["k", "n"])
 
     out = np.zeros(FEATURES + 1, dtype=np.int64)
@@ -212,6 +213,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 scores.append(shared.value.scores(texts_between(texts, lo, hi)))
             values = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(values)], names=[*keep, "score"])
+        _shapes.clear()
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(judge, schema)
 
@@ -226,6 +228,7 @@ def keep_documents(docs: DataFrame, model: Model, threshold: float = KEPT_FROM)
             good = [shared.value.scores(texts_between(texts, lo, hi)) >= threshold for lo, hi in text_slices(texts)]
             if good:
                 yield batch.filter(pa.array(np.concatenate(good)))
+        _shapes.clear()
 
     return docs.mapInArrow(keep, docs.schema)
 
