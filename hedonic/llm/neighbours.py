@@ -159,10 +159,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``most`` documents of each label, those with the smallest hashes of their ids.
+def labelled_features(docs: DataFrame, labels: DataFrame, label: str, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and count of at most ``most`` documents of each label, and their labels.
 
-    The ids are chosen from the labels alone, so that only a bounded set meets the texts.
+    They are those with the smallest hashes of their ids, chosen from the labels alone, so
+    that only a bounded set meets the texts. The texts stay in the tasks.
     """
     plain = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = plain.filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -170,33 +171,43 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     ordered = agreed.withColumn("h", F.xxhash64("doc_id"))
     chosen = ordered.filter("y = 0").orderBy("h", "doc_id").limit(most).unionByName(ordered.filter("y = 1").orderBy("h", "doc_id").limit(most))
     few = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "y"))  # 2 * most rows
-    found = docs.join(few, docs["doc_id"].cast("long") == few["_id"]).select("_id", "y", "text").dropDuplicates(["_id"])
-    return [(r["text"] or "", r["y"]) for r in found.orderBy("_id").toLocalIterator()]
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(few, F.col("id") == F.col("_id")).select("id", "y", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("text")
+            for lo, hi in text_slices(column):
+                rows, features, times = features_of(texts_between(column, lo, hi))
+                cuts = np.searchsorted(rows, np.arange(1, hi - lo))
+                lists = [pa.array(np.split(x, cuts), pa.list_(k)) for x, k in ((features, pa.int64()), (times, pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in ("id", "y")], *lists], names=["id", "y", "feature", "times"])
+        _shapes.clear()
+
+    counted = texts.mapInArrow(count, "id bigint, y int, feature array<bigint>, times array<double>")
+    # at most 2 * most rows of at most FEATURES numbers each
+    found = counted.groupBy("id", "y").agg(F.min(F.struct("feature", "times")).alias("f")).select("id", "y", "f.feature", "f.times").orderBy("id").toArrow().combine_chunks()
+    sizes = np.array([len(x) for x in found.column("feature")], dtype=np.int64)
+    flat = [np.concatenate([c.flatten().to_numpy() for c in found.column(name).chunks] or [np.zeros(0)]) for name in ("feature", "times")]
+    return np.repeat(np.arange(len(sizes)), sizes), flat[0].astype(np.int64), flat[1], found.column("y").to_numpy().astype(np.float64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_VOTERS, dimensions: int = DIMENSIONS) -> Model:
     """The voters and their latent space."""
     n, seen = document_counts(docs)
-    known = labelled_texts(docs, labels, label, most)
-    return fit_known([t for t, _ in known], np.array([v for _, v in known], dtype=np.float64), n, seen, dimensions)
-
-
-def fit_known(texts: list[str], y: np.ndarray, n: int, seen: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """The model of these labelled texts, where ``seen`` of ``n`` documents have each feature."""
+    rows, columns, counts, y = labelled_features(docs, labels, label, most)
     weights = (np.log((1 + n) / (1 + seen)) + 0.1) * np.where(np.arange(FEATURES) < FEATURES // 2, 1.0, FORM_WEIGHT)
-    rows, columns, counts = features_of(texts)
-    matrix = np.zeros((len(texts), FEATURES), dtype=np.float32)
+    matrix = np.zeros((len(y), FEATURES), dtype=np.float32)
     matrix[rows, columns] = np.log1p(counts) * weights[columns]
-    matrix = unit(matrix)
-    width = min(dimensions, len(texts)) if len(texts) else 0
+    size = np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix /= np.where(size > 0, size, 1)
+    width = min(dimensions, len(y))
     basis = np.zeros((FEATURES, 0), dtype=np.float32)
     if width:
         # randomised subspace iteration for the leading right singular vectors
         guess = np.random.default_rng(5).standard_normal((FEATURES, min(width + 10, FEATURES))).astype(np.float32)
         for _ in range(4):
             guess = np.linalg.qr(matrix.T @ (matrix @ guess))[0]
-        small = matrix @ guess
-        basis = (guess @ np.linalg.svd(small, full_matrices=False)[2][:width].T).astype(np.float32)
+        basis = (guess @ np.linalg.svd(matrix @ guess, full_matrices=False)[2][:width].T).astype(np.float32)
     share = np.array([max((y == v).mean(), 1e-9) if len(y) else 1.0 for v in (0, 1)])
     return Model(weights, basis, unit(matrix @ basis), y, 0.5 / share[y.astype(int)] if len(y) else y)
 
