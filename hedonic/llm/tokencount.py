@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from hedonic.llm.common import table, text_slices, texts_between
 from hedonic.llm.encoding import documents_of, library_encoder
-from hedonic.session import scratch_path
+from hedonic.session import scratch_path, written
 
 TOKENIZER = "byte_bpe_50k.json"
 # Written files: 16-bit little-endian codes, 0 ends a document, any other code is id + 1.
@@ -62,6 +62,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, do
                 )
                 listed = [f"{k} {'' if name is None else name}".encode() for k, name in zip(numbers.tolist(), names)]
                 yield pa.RecordBatch.from_arrays([pa.array(["names"] * (hi - lo)), pa.array(numbers), pa.array(listed, pa.binary())], names=["kind", "n", "value"])
+        encoder.forget()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, "kind string, n bigint, value binary")
     ordered = rows.sortWithinPartitions("kind", "n").select("kind", F.col("value").cast("string").alias("value"))
@@ -130,8 +131,12 @@ def stitched(blocks: DataFrame, run_tokens: int = BLOCK_TOKENS * RUN_BLOCKS) ->
 
 
 def count_tokens(spark: SparkSession, path: str, width: int = WIDTH, end_code: int = END_CODE, block_tokens: int = BLOCK_TOKENS, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
-    """Per document in the token files of a folder: file, number, start, n_tokens, complete."""
-    return stitched(find_ends(spark, path, width, end_code, block_tokens, whole_bytes), block_tokens * RUN_BLOCKS)
+    """Per document in the token files of a folder: file, number, start, n_tokens, complete.
+
+    The blocks are written once, so that the files are scanned once and not for every pass over the blocks.
+    """
+    blocks = written(find_ends(spark, path, width, end_code, block_tokens, whole_bytes), "token-blocks")
+    return stitched(blocks, block_tokens * RUN_BLOCKS)
 
 
 def _part(file: str) -> Column:
