@@ -258,10 +258,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     if their component has no other id.
     """
     prints = written(fingerprints(docs, shingle, doc_id, text, {"_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))}), "prints")
-    rooted = prints.join(classes(prints, distance=distance, **options), "fp")
+    return first_of_each(docs, prints.join(classes(prints, distance=distance, **options), "fp").select("doc_id", "_hash", "root"), doc_id, text)
+
+
+def first_of_each(docs: DataFrame, rooted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The first document of each ``root``; ``rooted`` has doc_id, _hash (of the text) and root of every row."""
     rank = F.struct(F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("i"), F.col("_hash").alias("h"))
     first = rooted.groupBy("root").agg(F.min(rank).alias("r")).select(F.when(F.col("r.i") < (1 << 63) - 1, F.col("r.i")).alias("_id"), F.col("r.h").alias("_h")).distinct()
     row = docs.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_own"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
     kept = row.join(first, row["_own"].eqNullSafe(first["_id"]) & (row["_text"] == first["_h"]), "left_semi")
-    repeated = prints.groupBy("doc_id", "_hash").count().filter("count > 1").limit(1).count() > 0
+    repeated = rooted.groupBy("doc_id", "_hash").count().filter("count > 1").limit(1).count() > 0
     return (kept.dropDuplicates(["_own", "_text"]) if repeated else kept).select("_row.*")
