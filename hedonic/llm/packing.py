@@ -7,8 +7,8 @@ a time around the longest piece left. It enumerates undominated fillings (a piec
 fits exactly beats every other filling; a filling is dropped when another one of as many
 pieces is nowhere shorter), tries them by least waste, and goes back when the waste so far
 exceeds what a better result than the best known one could afford. Best-fit decreasing
-gives the first known result. A filling is repeated while its pieces last, so that the
-plan has a few thousand entries at most. The search ends at the lower bound, or after a
+gives the first known result. A filling is first repeated while its pieces last, so that the
+plan has a few thousand entries, and fewer times when the search comes back. The search ends at the lower bound, or after a
 documented number of steps with the best result found.
 
 The plan is then applied to the pieces in the tasks: a piece's number within its length
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,11 +39,10 @@ from hedonic.llm.numbering import numbered
 CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-# Steps of the search (fillings tried) after which the best result so far is taken.
+# Steps of the search (fillings tried, and wastes that no undominated filling has) after which the best result so far is taken.
 MAX_STEPS = 20_000
-# Fillings tried per sequence, and pieces beside the longest that are enumerated
-# one by one before the rest is filled best-fit.
-WIDTH, DEPTH = 4, 2
+# Open choices that keep their table of totals; the others make it anew when the search comes back to them.
+HELD = 64
 
 
 @dataclass
@@ -129,36 +128,74 @@ def best_fit_decreasing(counts: np.ndarray, capacity: int) -> Plan:
     return plan
 
 
-def _fillings(stock: _Stock, first: int, capacity: int) -> list[tuple[int, ...]]:
-    """Undominated fillings around ``first``, least waste first, at most ``WIDTH``."""
-    room, found = capacity - first, {}
-
-    def enough(length: int, used: dict[int, int]) -> bool:
-        return stock.counts[length] > used.get(length, 0)
-
-    def grow(picked: tuple[int, ...], room: int, used: dict[int, int], depth: int) -> None:
-        if 0 < room < len(stock.counts) and enough(room, used) and (not picked or room <= picked[-1]):
-            found[(*picked, room)] = 0  # fits exactly: dominates the rest of this branch
+class _Sums:
+    """Which totals the pieces beside a longest one can have, as bits, by how many of the lengths are used."""
+
+    held: list["_Sums"] = []
+
+    def __init__(self, stock: _Stock, first: int, room: int):
+        self.room = room
+        self.lengths = stock.left[: bisect_right(stock.left, min(room, first))]
+        self.most = [min(stock.counts[x] - (x == first), room // x) for x in self.lengths]
+        self.bits: list[int] | None = None
+
+    def table(self) -> list[int]:
+        """The bits; of all choices that are open, only the ``HELD`` last ones keep them."""
+        if self.bits is None:
+            self.bits, mask = [1], (2 << self.room) - 1
+            for length, rest in zip(self.lengths, self.most):
+                bits, part = self.bits[-1], 1
+                while rest:
+                    part = min(part, rest)
+                    bits |= bits << part * length & mask
+                    rest, part = rest - part, part * 2
+                self.bits.append(bits)
+            self.held.append(self)
+            if len(self.held) > HELD:
+                self.held.pop(0).bits = None
+        return self.bits
+
+    def lengthens(self, at: int, waste: int, picked: tuple[int, ...]) -> bool:
+        """Whether a longer piece is left that fits instead of one of ``lengths[at]``: then another filling dominates."""
+        for k in range(at + 1, len(self.lengths)):
+            if self.lengths[k] - self.lengths[at] > waste:
+                return False
+            if picked.count(self.lengths[k]) < self.most[k]:
+                return True
+        return False
+
+    def exactly(self, upto: int, total: int, waste: int, picked: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]]:
+        """``picked`` and undominated pieces of the first ``upto`` lengths that add up to ``total``, the longest first."""
+        if not total:
+            yield picked
             return
-        if depth == 0 or room <= 0:
-            rest = _best_fit(stock, room, used)
-            found[(*picked, *rest)] = room - sum(rest)
+        for at in range(bisect_right(self.lengths, total, 0, upto) - 1, -1, -1):
+            if not self.table()[at + 1] >> total & 1:
+                return
+            if self.lengthens(at, waste, picked):
+                continue
+            length = self.lengths[at]
+            for n in range(min(self.most[at], total // length), 0, -1):
+                if self.table()[at] >> total - n * length & 1:
+                    yield from self.exactly(at, total - n * length, waste, picked + (length,) * n)
+
+
+def _fillings(stock: _Stock, first: int, capacity: int, slack: Callable[[], int]) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings around ``first`` that waste at most ``slack()``, least waste first; () for a waste of none."""
+    room = capacity - first
+    if 0 < room <= first and stock.counts[room] > (room == first):
+        yield (first, room)  # fits exactly: dominates the rest
+        return
+    sums = _Sums(stock, first, room)
+    for waste in range(room + 1):
+        if waste > slack():
             return
-        length, tried = stock.longest(min(room, picked[-1] if picked else room)), 0
-        if not length:
-            found[picked] = room
-        while length and tried < WIDTH:
-            if enough(length, used):
-                grow((*picked, length), room - length, {**used, length: used.get(length, 0) + 1}, depth - 1)
-                tried += 1
-            length = stock.longest(length - 1)
-
-    grow((), room, {first: 1}, DEPTH)
-    kept: list[tuple[int, ...]] = []
-    for filling in sorted(found, key=lambda f: (found[f], len(f), tuple(-x for x in f))):
-        if not any(len(k) == len(filling) and all(a >= b for a, b in zip(k, filling)) for k in kept):
-            kept.append(filling)
-    return [(first, *f) for f in kept[:WIDTH]]
+        some = False
+        for filling in sums.exactly(len(sums.lengths), room - waste, waste):
+            some = True
+            yield (first, *filling)
+        if not some:
+            yield ()
 
 
 def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, max_steps: int = MAX_STEPS) -> Plan:
@@ -173,36 +210,51 @@ def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, max_steps: int =
     best, bound = best_fit_decreasing(counts, capacity), lower_bound(counts, capacity)
     total = int((counts * np.arange(len(counts))).sum())
     stock, waste, steps = _Stock(counts), 0, 0
-    # one entry per choice made: the filling, its number, its waste and the choices left
+    # one entry per choice made: the filling, its number and its waste; and the choices left
     path: list[tuple[tuple[int, ...], int, int]] = []
-    choices: list[list[tuple[int, ...]]] = []
+    choices: list[Iterator[tuple[tuple[int, ...], int]]] = []
+
+    def slack() -> int:
+        """The waste that a better result can still afford."""
+        return (best.sequences - 1) * capacity - total - waste
+
+    def choices_of(first: int) -> Iterator[tuple[tuple[int, ...], int]]:
+        """Every filling as often as its pieces last, then every one fewer times."""
+        for filling in _fillings(stock, first, capacity, slack):
+            yield filling, stock.times(filling) if filling else 0
+        for filling in _fillings(stock, first, capacity, slack) if stock.counts[first] > 1 else ():
+            for times in range(stock.times(filling) - 1 if filling else 0, 0, -1):
+                yield filling, times
 
     def enter() -> None:
         """Open the choices of the longest piece left, or take the finished result if it is better."""
         nonlocal best
         first = stock.longest(capacity)
-        choices.append(_fillings(stock, first, capacity)[::-1] if first else [])
+        choices.append(choices_of(first) if first else iter(()))
         if not first and sum(n for _, n, _ in path) < best.sequences:
             best = Plan(capacity, [(filling, n) for filling, n, _ in path])
 
     enter()
     while choices and best.sequences > bound and steps < max_steps:
-        if not choices[-1]:
+        choice = next(choices[-1], None)
+        if choice is None:
             choices.pop()
             if path:
                 filling, times, lost = path.pop()
                 stock.give_back(filling, times)
                 waste -= lost
             continue
-        filling, steps = choices[-1].pop(), steps + 1
-        times = stock.times(filling)
+        (filling, times), steps = choice, steps + 1
+        if not times:
+            continue
         lost = (capacity - sum(filling)) * times
-        if waste + lost > (best.sequences - 1) * capacity - total:
+        if lost > slack():
             continue
         stock.take(filling, times)
         waste += lost
         path.append((filling, times, lost))
         enter()
+    _Sums.held.clear()
     return best
 
 
