@@ -363,11 +363,13 @@ RUN_SETTINGS = {
 }
 
 
+WIDE_SETTINGS = {**RUN_SETTINGS, "features": {**RUN_SETTINGS["features"], "categorical": CATEGORICAL}, "run": {"fast_sweep": True}}
+
+
 @query("run_sweep_wide")
 def whole_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole sweep with small grids: the summary of baseline and families on val and test."""
-    candidates = {"ridge": [RIDGE], "boosted": [{**BOOSTED, "n_estimators": 5}]}
-    return sweep.run_sweep(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "sale_key", candidates, neighbor_mode="asof")["summary"]
+    """The whole fast sweep: the summary of baseline and families on val and test."""
+    return sweep.run_sweep(sales(spark, sf_dir), WIDE_SETTINGS, store(spark), "sale_key", neighbor_mode="asof")["summary"]
 
 
 @query("run_single_wide")
@@ -377,8 +379,7 @@ def whole_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("run_by_rmse_wide")
 def whole_by_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candidates = [{**BOOSTED, "n_estimators": 3}, {**BOOSTED, "n_estimators": 5}]
-    return sweep.run_by_rmse(sales(spark, sf_dir), RUN_SETTINGS, store(spark), "sale_key", "xgboost", candidates)["metrics"]
+    return sweep.run_by_rmse(sales(spark, sf_dir), WIDE_SETTINGS, store(spark), "sale_key", "xgboost", sweep.CANDIDATES)["metrics"]
 
 
 @query("run_evaluation", over("preds", ECE_WEIGHTED, *QUANTILE_BINS))
