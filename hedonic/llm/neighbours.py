@@ -162,13 +162,14 @@ def held_out(doc_id: Column) -> Column:
 def labelled_features(docs: DataFrame, labels: DataFrame, label: str, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, feature and count of at most ``most`` documents of each label, and their labels.
 
-    They are those with the smallest hashes of their ids, chosen from the labels alone, so
-    that only a bounded set meets the texts. The texts stay in the tasks.
+    They are those with the smallest hashes of their ids among the labels of given documents
+    (by ids alone), so that only a bounded set meets the texts. The texts stay in the tasks.
     """
     plain = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = plain.filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     agreed = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other")).filter("y = other").drop("other")
-    ordered = agreed.withColumn("h", F.xxhash64("doc_id"))
+    present = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    ordered = agreed.join(present, "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     chosen = ordered.filter("y = 0").orderBy("h", "doc_id").limit(most).unionByName(ordered.filter("y = 1").orderBy("h", "doc_id").limit(most))
     few = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "y"))  # 2 * most rows
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(few, F.col("id") == F.col("_id")).select("id", "y", "text")
