@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -69,3 +70,14 @@ def within(classes: np.ndarray) -> np.ndarray:
 
 def long_type(name: str) -> T.StructField:
     return T.StructField(name, T.LongType())
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def ascii_lower(text: Column) -> Column:
+    """A text with A-Z lower-cased and all other characters as they are."""
+    plain = F.octet_length(text) == F.char_length(text)  # then no other letters have a case
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
