@@ -1,19 +1,20 @@
 """Phrases whose words stand together more often than chance would have it.
 
-Texts are cut by prefix-free parsing: a window of ``LONGEST - 1`` words whose hash is a
-multiple of ``SPACING`` ends a chunk and begins the next one, which therefore overlaps it by
-that window. Pieces between marks begin and end chunks too. The place of a cut depends on
-the words around it alone, so passages that recur give the same chunks: the distinct ones
-with their frequencies in the parse are the dictionary, written once, and all counting is
-done in it. A run of up to ``LONGEST`` words lies in one chunk at least, and one that lies
-in an overlap is counted in the earlier chunk only: in a chunk that continues another,
-runs that end inside its first window are left out.
-
-Runs are counted length by length. One can be frequent only if both of its parts that are
-a word shorter are, and those parts are known as bits in a table of fixed size (``BITS``):
-a part's hash may meet another's bit, which lets a rare run through, but never loses one;
-exact counts decide afterwards. Tasks count their runs on word numbers, sums are made in
-the shuffle, and every frequent run is a row of a table joined by its words.
+Texts are read as words and marks (a mark ends a piece) and cut by prefix-free parsing: a
+window of ``LONGEST - 1`` words or marks whose hash is a multiple of ``SPACING`` ends a chunk
+and begins the next one, which therefore overlaps it by that window. The place of a cut
+depends on the words around it alone, so passages that recur give the same chunks: the
+distinct ones with their frequencies in the parse are the dictionary, written once, and all
+counting is done in it. A run of up to ``LONGEST`` words lies in one chunk at least, and
+one that lies in an overlap is counted in the earlier chunk only: in a chunk that continues
+another, runs that end inside its first window are left out.
+
+Runs are counted in passes over the dictionary (``PASSES``, the lengths of each). A run can
+be frequent only if all its parts are, and the longest ones of the pass before are known as
+bits in a table of fixed size (``BITS``): a part's hash may meet another's bit, which lets a
+rare run through, but never loses one; exact counts decide afterwards. Tasks count their
+runs on word numbers, sums are made in the shuffle, and every frequent run is a row of a
+table joined by its words.
 
 Defined cases: a NULL text counts as empty, a NULL language as ``und``; repeated rows count
 each; texts without words give nothing; an empty table gives no rows; other columns are
@@ -22,10 +23,11 @@ ignored. A text is cut in one task, whatever its length; words may have any leng
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -39,20 +41,23 @@ from hedonic.session import Lookup, written
 LONGEST = 5
 LEAST = 100
 REPORTED = 2000
-SPACING = 16
+SPACING = 40
+PASSES = ((1,), (2,), (3,), (4, 5))
 # Bits of the table of frequent runs: 8 MiB, whatever the input.
 BITS = 1 << 26
 # Marks that end a piece, and the tab, a gap like the space.
 _CLEAN = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", b"\n" * 10 + b" ")
+# Numbers of the empty word between two gaps, of a mark and of the end of a text; those of words are above.
+_EMPTY, _MARK, _END = 0, 1, 2
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
 
 class _Words(dict):
-    """Numbers words as they are met: 0 is the empty word between two gaps, 1 the end of a piece."""
+    """Numbers words as they are met."""
 
     def __init__(self):
-        super().__init__({b"": 0, b"\n": 1})
+        super().__init__({b"": _EMPTY, b"\n": _MARK, b"\r": _END})
         self.new: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
@@ -71,30 +76,24 @@ class _Reader:
 
     def _reset(self) -> None:
         self.numbers = _Words()
-        self.words = [b"", b"\n"]
-        self.hashes = np.zeros(2, dtype=np.uint64)
+        self.words = pa.array(["", "\n", "\r"], pa.large_string())
+        self.hashes = np.array([0, 1, 2], dtype=np.uint64)
 
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The words of all pieces by number, where each piece starts (with the total), and the text of each piece."""
-        if len(self.words) > self.MOST:
+    def read(self, texts: list[bytes]) -> np.ndarray:
+        """The words and marks of all texts by number, with an end between two texts."""
+        if len(self.hashes) > self.MOST:
             self._reset()
-        tokens = b" \n ".join(texts).split(b" ")
+        tokens = b" \r ".join(texts).split(b" ")
         ids = np.fromiter(map(self.numbers.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        if self.numbers.new:
-            self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(w) for w in self.numbers.new], dtype=np.uint64)])
-            self.words += self.numbers.new
-            self.numbers.new = []
-        ids = ids[ids != 0]
-        ends = np.flatnonzero(ids == 1)
-        inside = ids != 1
-        starts = np.r_[0, ends - np.arange(len(ends)), inside.sum()]
-        return ids[inside], starts, ends
+        new, self.numbers.new = self.numbers.new, []
+        if new:
+            self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh64_intdigest, new), dtype=np.uint64, count=len(new))])
+            self.words = pa.concat_arrays([self.words, pa.array(new, pa.large_binary()).cast(pa.large_string())])
+        return ids[ids != _EMPTY]
 
     def joined(self, starts: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> pa.Array:
-        """The texts of word runs, their words parted by single spaces."""
-        used, which = np.unique(ids[spread(starts, counts)], return_inverse=True)
-        words = pa.array([self.words[i].decode() for i in used.tolist()], pa.large_string()).take(pa.array(which))
-        runs = pa.LargeListArray.from_arrays(pa.array(run_starts(counts)), words)
+        """The texts of runs, their words parted by single spaces."""
+        runs = pa.LargeListArray.from_arrays(pa.array(run_starts(counts)), self.words.take(pa.array(ids[spread(starts, counts)])))
         return pc.binary_join(runs, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
@@ -108,45 +107,42 @@ def _extended(run: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mixed(run + _FACTOR) + word
 
 
-def _cuts(ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray, window: int, spacing: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of words and ``goes_on`` (overlaps the chunk before it) of each chunk."""
-    sizes = np.diff(starts)
-    firsts, sizes = starts[:-1][sizes > 0], sizes[sizes > 0]
-    lasts = firsts + sizes
-    if len(ids) < window:
-        return firsts, sizes, np.zeros(len(firsts), dtype=bool)
-    rolled = hashes[ids[: len(ids) - window + 1]]
-    for k in range(1, window):
-        rolled = _extended(rolled, hashes[ids[k : len(ids) - window + 1 + k]])
-    at = np.flatnonzero(_mixed(rolled) % np.uint64(spacing) == 0)
-    piece = np.searchsorted(firsts, at, side="right") - 1
-    # a window inside one piece that neither begins nor ends it
-    real = (at > firsts[piece]) & (at + window < lasts[piece])
-    at = at[real]
-    begins = np.sort(np.concatenate([firsts, at]))
-    goes_on = np.isin(begins, at)
-    owner = np.searchsorted(firsts, begins, side="right") - 1
-    follows = np.r_[goes_on[1:], False]
-    ends = np.where(follows, np.r_[begins[1:], 0] + window, lasts[owner])
-    return begins, ends - begins, goes_on
+def _cuts(ids: np.ndarray, hashes: np.ndarray, window: int, spacing: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first place, length and ``goes_on`` (overlaps the chunk before it) of each chunk."""
+    ends = np.flatnonzero(ids == _END)
+    firsts, lasts = np.r_[0, ends + 1], np.r_[ends, len(ids)]
+    at = np.zeros(0, dtype=np.int64)
+    if len(ids) >= window:
+        rolled = hashes[ids[: len(ids) - window + 1]]
+        for k in range(1, window):
+            rolled = _extended(rolled, hashes[ids[k : len(ids) - window + 1 + k]])
+        at = np.flatnonzero(_mixed(rolled) % np.uint64(spacing) == 0)
+        text = np.searchsorted(firsts, at, side="right") - 1
+        # a window inside one text that neither begins nor ends it
+        at = at[(at > firsts[text]) & (at + window < lasts[text])]
+    begins = np.concatenate([firsts, at])
+    goes_on = np.r_[np.zeros(len(firsts), dtype=bool), np.ones(len(at), dtype=bool)]
+    order = np.argsort(begins, kind="stable")
+    begins, goes_on = begins[order], goes_on[order]
+    text = np.cumsum(~goes_on) - 1
+    sizes = np.where(np.r_[goes_on[1:], False], np.r_[begins[1:], 0] + window, lasts[text]) - begins
+    full = sizes > 0
+    return text[full], begins[full], sizes[full], goes_on[full]
 
 
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang", window: int = LONGEST - 1, spacing: int = SPACING) -> DataFrame:
-    """The dictionary of the parse: lang, goes_on, chunk (words parted by spaces) and its frequency ``n``."""
+    """The dictionary of the parse: lang, goes_on, chunk (words and marks parted by spaces) and its frequency ``n``."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader()
         for batch in batches:
-            texts, languages = batch.column("text"), batch.column("lang")
+            texts = batch.column("text")
             for lo, hi in text_slices(texts):
-                own = [t.encode().lower().translate(_CLEAN).replace(b"\n", b" \n ") for t in texts.slice(lo, hi - lo).to_pylist()]
-                ids, starts, ends = reader.read(own)
-                begins, sizes, goes_on = _cuts(ids, starts, reader.hashes, window, spacing)
-                # texts are parted by a mark too: the pieces of a text are one more than its own marks
-                pieces = run_starts(np.array([t.count(b"\n") + 1 for t in own], dtype=np.int64))
-                piece = np.searchsorted(starts, begins, side="right") - 1
-                document = np.searchsorted(pieces, piece, side="right") - 1
-                found = pa.table({"lang": languages.slice(lo, hi - lo).take(pa.array(document)), "goes_on": pa.array(goes_on), "chunk": reader.joined(begins, sizes, ids)})
+                ids = reader.read([t.encode().lower().translate(_CLEAN).replace(b"\n", b" \n ") for t in texts.slice(lo, hi - lo).to_pylist()])
+                ids = ids[~((ids == _MARK) & (np.r_[_END, ids[:-1]] == _MARK))]  # one mark between two pieces is enough
+                text, begins, sizes, goes_on = _cuts(ids, reader.hashes, window, spacing)
+                languages = batch.column("lang").slice(lo, hi - lo).take(pa.array(text))
+                found = pa.table({"lang": languages, "goes_on": pa.array(goes_on), "chunk": reader.joined(begins, sizes, ids)})
                 counted = found.group_by(["lang", "goes_on", "chunk"]).aggregate([([], "count_all")])
                 columns = [counted.column(c).combine_chunks() for c in ("lang", "goes_on", "chunk", "count_all")]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "goes_on", "chunk", "n"])
@@ -158,7 +154,9 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang", window: int
 
 def _groups(hashes: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """One element of each group of equal parts, and the group of each element; equal hashes are looked at again."""
-    _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
+    group, values = pd.factorize(hashes)
+    first = np.empty(len(values), dtype=np.int64)
+    first[group[::-1]] = np.arange(len(group))[::-1]
     if all(np.array_equal(p, p[first[group]]) for p in parts):
         return first, group
     _, first, group = np.unique(np.stack(parts, axis=1), axis=0, return_index=True, return_inverse=True)
@@ -178,43 +176,51 @@ def _language_hashes(languages: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return coded.indices.to_numpy(zero_copy_only=False), np.array([xxhash.xxh64_intdigest(x.encode()) for x in names], dtype=np.uint64)
 
 
-def _runs(dictionary: DataFrame, size: int, shorter: Broadcast | None, window: int) -> DataFrame:
-    """How often each run of ``size`` words, both of whose shorter parts may be frequent, occurs: lang, phrase, n."""
+def _grown(ids: np.ndarray, seeds: np.ndarray, hashes: np.ndarray, longest: int, shorter: Broadcast | None, known: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, places and hashes of the runs up to ``longest`` words; the longer ones only if all their parts of ``known`` words may be frequent."""
+    word = np.r_[ids > _END, np.zeros(longest, dtype=bool)]
+    may = np.zeros(len(word), dtype=bool)
+    at = np.flatnonzero(word)
+    run = _extended(seeds[at], hashes[ids[at]])
+    for size in range(1, longest + 1):
+        if size > 1:
+            fits = word[at + size - 1]
+            if shorter is not None and size > known:
+                fits &= may[at] & may[at + size - known]
+            at, run = at[fits], run[fits]
+            run = _extended(run, hashes[ids[at + size - 1]])
+        if size == known:
+            may[at] = _known(shorter.value, run)
+        yield size, at, run
+
+
+def _runs(dictionary: DataFrame, sizes: Sequence[int], shorter: Broadcast | None, window: int) -> DataFrame:
+    """How often runs of these lengths occur: lang, size, phrase, n. ``shorter`` is the table of those a word shorter than the first length."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader()
         for batch in batches:
             for lo, hi in text_slices(batch.column("chunk"), 4 * SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
-                ids, starts, _ = reader.read([c.encode() for c in part.column("chunk").to_pylist()])
-                lengths = np.diff(starts)
-                chunk = np.repeat(np.arange(len(lengths)), lengths)
+                ids = reader.read([c.encode() for c in part.column("chunk").to_pylist()])
+                ends = ids == _END
+                chunk, starts = np.cumsum(ends), np.r_[0, np.flatnonzero(ends) + 1]
                 codes, seeds = _language_hashes(part.column("lang"))
                 goes_on, weight = part.column("goes_on").to_numpy(zero_copy_only=False), part.column("n").to_numpy()
-                word = reader.hashes[ids]
-                at, run = np.arange(len(ids)), seeds[codes[chunk]]
-                for k in range(1, size + 1):
-                    if k == size and shorter is not None:
-                        # both shorter parts: the run so far, and the one that begins a word later
-                        may = np.zeros(len(ids) + 1, dtype=bool)
-                        may[at] = _known(shorter.value, run)
-                        keep = may[at] & may[at + 1]
-                        at, run = at[keep], run[keep]
-                    inside = at + k - 1 < starts[chunk[at] + 1]
-                    at, run = at[inside], _extended(run[inside], word[at[inside] + k - 1])
-                fresh = ~goes_on[chunk[at]] | (at + size - 1 - starts[chunk[at]] >= window)
-                at, run = at[fresh], run[fresh]
-                if not len(at):
-                    continue
-                first, group = _groups(run, [codes[chunk[at]], *[ids[at + k] for k in range(size)]])
-                # whole numbers stay exact in doubles below 2 ** 53
-                sums = np.bincount(group, weights=weight[chunk[at]], minlength=len(first)).astype(np.int64)
-                some = at[first]
-                names = part.column("lang").take(pa.array(chunk[some]))
-                phrase = reader.joined(some, np.full(len(some), size, dtype=np.int64), ids)
-                yield pa.RecordBatch.from_arrays([names, phrase, pa.array(sums)], names=["lang", "phrase", "n"])
-
-    return dictionary.mapInArrow(count, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+                for size, at, run in _grown(ids, seeds[codes][chunk], reader.hashes, sizes[-1], shorter, sizes[0] - 1):
+                    if size not in sizes:
+                        continue
+                    fresh = ~goes_on[chunk[at]] | (at + size - 1 - starts[chunk[at]] >= window)
+                    at, run = at[fresh], run[fresh]
+                    first, group = _groups(run, [codes[chunk[at]], *[ids[at + k] for k in range(size)]])
+                    # whole numbers stay exact in doubles below 2 ** 53
+                    sums = np.bincount(group, weights=weight[chunk[at]], minlength=len(first)).astype(np.int64)
+                    some = at[first]
+                    lengths = np.full(len(some), size, dtype=np.int64)
+                    columns = [part.column("lang").take(pa.array(chunk[some])), pa.array(lengths.astype(np.int32)), reader.joined(some, lengths, ids), pa.array(sums)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
+
+    return dictionary.mapInArrow(count, "lang string, size int, phrase string, n bigint").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _bits(frequent: DataFrame, size: int, bits: int) -> bytes:
@@ -226,9 +232,9 @@ def _bits(frequent: DataFrame, size: int, bits: int) -> bytes:
             if not batch.num_rows:
                 continue
             codes, seeds = _language_hashes(batch.column("lang"))
-            ids, _, _ = reader.read([p.encode() for p in batch.column("phrase").to_pylist()])
+            ids = reader.read([p.encode() for p in batch.column("phrase").to_pylist()])
             run = seeds[codes]
-            for words in ids.reshape(-1, size).T:
+            for words in ids[ids != _END].reshape(-1, size).T:
                 run = _extended(run, reader.hashes[words])
             at = (run % np.uint64(bits)).astype(np.int64)
             own = (np.uint64(1) << (at % 64).astype(np.uint64)).view(np.int64)
@@ -240,19 +246,20 @@ def _bits(frequent: DataFrame, size: int, bits: int) -> bytes:
     return out.tobytes()
 
 
-def frequent_runs(dictionary: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
-    """Runs of up to ``longest`` words that occur at least so often (lang, size, phrase, f), and words per language (lang, n)."""
-    levels, words, shorter = [], None, None
-    for size in range(1, longest + 1):
-        counted = _runs(dictionary, size, shorter, longest - 1)
-        if size == 1:
+def frequent_runs(dictionary: DataFrame, least: int = LEAST, passes: Sequence[Sequence[int]] = PASSES, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """Runs that occur at least so often (lang, size, phrase, f), and the number of words of each language (lang, n)."""
+    levels, words, shorter, window = [], None, None, passes[-1][-1] - 1
+    for sizes in passes:
+        counted = _runs(dictionary, sizes, shorter, window)
+        if words is None:
             counted = written(counted, "words")
             words = counted.groupBy("lang").agg(F.sum("n").alias("n"))
-        level = written(counted.filter(F.col("n") >= least).select("lang", F.lit(size).alias("size"), "phrase", F.col("n").alias("f")), "runs")
+        level = written(counted.filter(F.col("n") >= least).select("lang", "size", "phrase", F.col("n").alias("f")), "runs")
         levels.append(level)
         if shorter is not None:
             shorter.unpersist()
-        shorter = dictionary.sparkSession.sparkContext.broadcast(_bits(level, size, bits)) if size < longest else None
+        if sizes != passes[-1]:
+            shorter = dictionary.sparkSession.sparkContext.broadcast(_bits(level.filter(F.col("size") == sizes[-1]), sizes[-1], bits))
     return reduce(DataFrame.unionByName, levels), words
 
 
