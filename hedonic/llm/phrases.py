@@ -41,7 +41,7 @@ from hedonic.session import Lookup, written
 LONGEST = 5
 LEAST = 100
 REPORTED = 2000
-SPACING = 40
+SPACING = 64
 PASSES = ((1,), (2,), (3,), (4, 5))
 # Bits of the table of frequent runs: 8 MiB, whatever the input.
 BITS = 1 << 26
@@ -195,7 +195,7 @@ def _grown(ids: np.ndarray, seeds: np.ndarray, hashes: np.ndarray, longest: int,
 
 
 def _runs(dictionary: DataFrame, sizes: Sequence[int], shorter: Broadcast | None, window: int) -> DataFrame:
-    """How often runs of these lengths occur: lang, size, phrase, n. ``shorter`` is the table of those a word shorter than the first length."""
+    """How often runs of these lengths occur: lang, phrase, size, n. ``shorter`` is the table of those a word shorter than the first length."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader()
@@ -217,10 +217,13 @@ def _runs(dictionary: DataFrame, sizes: Sequence[int], shorter: Broadcast | None
                     sums = np.bincount(group, weights=weight[chunk[at]], minlength=len(first)).astype(np.int64)
                     some = at[first]
                     lengths = np.full(len(some), size, dtype=np.int64)
-                    columns = [part.column("lang").take(pa.array(chunk[some])), pa.array(lengths.astype(np.int32)), reader.joined(some, lengths, ids), pa.array(sums)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
+                    # one short key for the shuffle: the phrase, which has no line end, and the language
+                    keys = pc.binary_join_element_wise(reader.joined(some, lengths, ids), part.column("lang").take(pa.array(chunk[some])), "\n")
+                    yield pa.RecordBatch.from_arrays([keys, pa.array(sums)], names=["key", "n"])
 
-    return dictionary.mapInArrow(count, "lang string, size int, phrase string, n bigint").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    counted = dictionary.mapInArrow(count, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\n", 1)
+    return counted.select(F.expr("substring(key, instr(key, '\n') + 1)").alias("lang"), phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("size"), "n")
 
 
 def _bits(frequent: DataFrame, size: int, bits: int) -> bytes:

@@ -230,7 +230,7 @@ def test_chunks_recur_with_their_passage(spark):
     rnd = random.Random(4)
     passage = " ".join(f"p{rnd.randint(0, 400)}" for _ in range(600))
     data = [(" ".join(f"q{rnd.randint(0, 400)}" for _ in range(rnd.randint(1, 50))) + " " + passage, "a") for _ in range(20)]
-    out = phrases.chunks(spark.createDataFrame(data, "text string, lang string"))
+    out = phrases.chunks(spark.createDataFrame(data, "text string, lang string"), spacing=16)
     assert out.filter("n = 20 AND goes_on").count() > 10
 
 
