@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml.regression import (
     GBTRegressionModel,
-    GBTRegressor,
     LinearRegression,
     LinearRegressionModel,
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hedonic.models import boosting
+from hedonic.models.boosting import BoostParams
 from hedonic.models.encode import FeatureEncoder
 from hedonic.operators.target import log_target, smear_factor, to_dollars
 
@@ -33,18 +34,10 @@ FOREST_PARAMS = {
     "bootstrap": "bootstrap",
     "random_state": "seed",
 }
-BOOSTED_PARAMS = {
-    "n_estimators": "maxIter",
-    "max_depth": "maxDepth",
-    "learning_rate": "stepSize",
-    "subsample": "subsamplingRate",
-    "colsample_bytree": "featureSubsetStrategy",
-    "random_state": "seed",
-}
 RIDGE_PARAMS = {"alpha", "fit_intercept", "solver", "max_iter", "tol"}
 # Set by machines or libraries, without meaning for a distributed fit.
 IGNORED = {"n_jobs", "copy_X", "random_state", "verbosity", "verbose", "tree_method", "device", "predictor", "objective", "enabled"}
-MAX_TREE_DEPTH = 30  # the deepest tree that the distributed trainers grow
+MAX_TREE_DEPTH = 30  # the deepest tree that the forest's trainer grows
 # How ridge is solved: "normal" takes up to 4,096 vector positions (the trainer's own
 # limit, an error beyond it), "l-bfgs" any number, in at most ``max_iter`` steps.
 SOLVERS = ("normal", "l-bfgs")
@@ -61,13 +54,13 @@ def resolve_kind(kind: str, settings: Mapping[str, Any] | None = None) -> str:
     return FAMILY[name]
 
 
-_NAMES = {"ridge": dict.fromkeys(RIDGE_PARAMS), "rf": FOREST_PARAMS, "boosted": BOOSTED_PARAMS}
+_NAMES = {"ridge": dict.fromkeys(RIDGE_PARAMS), "rf": FOREST_PARAMS, "boosted": BoostParams.NAMES}
 
 
 def without_counterpart(family: str, params: Mapping[str, Any]) -> dict[str, Any]:
     """The given parameters that the distributed trainer has nothing for, or cannot follow; they are reported, not lost."""
     out = {k: v for k, v in params.items() if k not in _NAMES[family] and k not in IGNORED}
-    if family != "ridge" and "max_depth" in params and effective_depth(params["max_depth"]) != params["max_depth"]:
+    if family == "rf" and "max_depth" in params and effective_depth(params["max_depth"]) != params["max_depth"]:
         out["max_depth"] = params["max_depth"]
     return out
 
@@ -81,7 +74,7 @@ def distinct_candidates(family: str, candidates: Sequence[Mapping[str, Any]]) ->
     """The candidates without those that the trainer would fit in the same way again."""
     seen, out = set(), []
     for params in candidates:
-        same = {k: effective_depth(v) if k == "max_depth" and family != "ridge" else v for k, v in params.items()}
+        same = {k: effective_depth(v) if k == "max_depth" and family == "rf" else v for k, v in params.items()}
         told = repr(sorted(same.items()))
         if told not in seen:
             seen.add(told)
@@ -124,7 +117,7 @@ def make_estimator(family: str, params: Mapping[str, Any], rows: int = 1, label_
         )
     if family == "rf":
         return RandomForestRegressor(**{"featureSubsetStrategy": "all", **_translated(params, FOREST_PARAMS)}, **common)
-    return GBTRegressor(**_translated(params, BOOSTED_PARAMS), **common)
+    raise ValueError(f"{family} is not fitted by an estimator, but by the trainer in boosting.py")
 
 
 _MODEL_CLASSES = {"ridge": LinearRegressionModel, "rf": RandomForestRegressionModel, "boosted": GBTRegressionModel}
@@ -155,6 +148,8 @@ class PriceModel:
         Given parameters that the trainer has no counterpart for follow as not applied.
         """
         rows = [(self.family, f"not applied: {k}", str(v)) for k, v in sorted(without_counterpart(self.family, self.params).items())]
+        if self.family == "boosted":
+            rows += [(self.family, k, str(v)) for k, v in sorted(self.params.items()) if k in BoostParams.NAMES]
         for param in sorted(self.regressor.params, key=lambda p: p.name):
             value = self.regressor.getOrDefault(param) if self.regressor.isDefined(param) else None
             rows.append((self.family, param.name, None if value is None or value != value else str(value)))
@@ -187,6 +182,8 @@ def fit_encoded(
     family: str, params: Mapping[str, Any], vectors: DataFrame, encoder: FeatureEncoder, target: str = "price", log: bool = True, smearing: bool = True
 ) -> PriceModel:
     """Fit a regressor on encoded training rows and its smear factor on their residuals."""
+    if family == "boosted":
+        return fit_boosted_stages([params], vectors, encoder, target, log, smearing).models()[0]
     labelled = log_target(vectors, target, "label", log).select("features", "label")
     rows, std = 1, 1.0
     if family == "ridge":
@@ -200,3 +197,76 @@ def fit_encoded(
         raise RuntimeError(f"ridge did not converge in {estimator.getMaxIter()} iterations; raise max_iter or tol")
     smear = smear_factor(regressor.transform(labelled), log=log, smearing=smearing)
     return PriceModel(family, dict(params), encoder, regressor, smear, log, target)
+
+
+class _Whole:
+    """A model of the first trees of a fit, built when something of it is asked for."""
+
+    def __init__(self, build: Callable[[], GBTRegressionModel]):
+        self._build, self._model = build, None
+
+    def __getattr__(self, name: str) -> Any:
+        if self._model is None:
+            self._model = self._build()
+        return getattr(self._model, name)
+
+
+@dataclass
+class BoostedStages:
+    """One boosted fit that stands for several candidates, which differ in the number of trees only."""
+
+    params: list[dict[str, Any]]
+    ends: list[int]  # of the parts, in trees
+    parts: list[GBTRegressionModel]
+    whole: Callable[[int], GBTRegressionModel]
+    encoder: FeatureEncoder
+    smears: list[float | None]
+    log: bool
+    target: str
+
+    def predicted(self, vectors: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """``vectors`` with the sums of each part's trees, and for each candidate its prediction in dollars: all in one pass."""
+        sums, upto = _summed(vectors, self.parts)
+        return sums, [to_dollars(upto[self.ends.index(_rounds(p))], smear, self.log) for p, smear in zip(self.params, self.smears)]
+
+    def models(self) -> list[PriceModel]:
+        """A model per candidate."""
+        out = []
+        for params, smear in zip(self.params, self.smears):
+            n = _rounds(params)
+            regressor = self.parts[0] if n == self.ends[0] else _Whole(lambda n=n: self.whole(n))
+            out.append(PriceModel("boosted", dict(params), self.encoder, regressor, smear, self.log, self.target))
+        return out
+
+
+def _rounds(params: Mapping[str, Any]) -> int:
+    return BoostParams.of(params).rounds
+
+
+def _summed(vectors: DataFrame, parts: Sequence[GBTRegressionModel]) -> tuple[DataFrame, list[Column]]:
+    """``vectors`` with the prediction of each part, and the sums of the first one, two, ... of them."""
+    sums, total = [], F.lit(0.0)
+    for i, part in enumerate(parts):
+        name = f"_part_{i}"
+        vectors = part.setPredictionCol(name).transform(vectors)
+        part.setPredictionCol("prediction")
+        total = total + F.col(name)
+        sums.append(total)
+    return vectors, sums
+
+
+def fit_boosted_stages(
+    candidates: Sequence[Mapping[str, Any]], vectors: DataFrame, encoder: FeatureEncoder, target: str = "price", log: bool = True, smearing: bool = True
+) -> BoostedStages:
+    """Fit candidates that differ in ``n_estimators`` only once, with the most trees; smaller numbers are its beginnings."""
+    labelled = log_target(vectors, target, "label", log).select("features", "label")
+    longest = max(candidates, key=_rounds)
+    ends, params = sorted({_rounds(c) for c in candidates}), BoostParams.of(longest)
+    parts, whole = boosting.fit_stages(labelled, len(encoder.numeric), [encoder.widths[c] for c in encoder.categorical], params, ends)
+    smears: list[float | None] = [None] * len(candidates)
+    if log and smearing:
+        sums, upto = _summed(labelled, parts)
+        row = sums.agg(*[F.avg(F.exp(F.col("label") - total)).alias(f"s{i}") for i, total in enumerate(upto)]).first()
+        found = [1.0 if v is None else float(v) for v in row]
+        smears = [found[ends.index(_rounds(c))] for c in candidates]
+    return BoostedStages([dict(c) for c in candidates], ends, parts, whole, encoder, smears, log, target)

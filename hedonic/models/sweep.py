@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import wraps
 from itertools import product
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hedonic.models.encode import FeatureEncoder, fit_encoder
-from hedonic.models.estimators import PriceModel, distinct_candidates, fit_encoded, resolve_kind
+from hedonic.models.estimators import PriceModel, distinct_candidates, fit_boosted_stages, fit_encoded, resolve_kind
 from hedonic.operators import calibration, metrics
 from hedonic.operators.features import STANDARD_EXPRESSIONS, add_expressions, time_features, usable_columns
 from hedonic.operators.groupstats import fit_baseline, neighbors_from_settings, predict_baseline
@@ -128,22 +129,67 @@ def sweep(
 ) -> list[Trial]:
     """Fit every candidate on the encoded training rows and score it on the validation rows.
 
-    Both are encoded once and kept for all trials; lost parts are encoded again.
+    Both are encoded once and kept for all trials; lost parts are encoded again. Boosted
+    candidates that differ in the number of trees only are one fit, scored in one pass.
+    Fits run side by side, as far as the cluster has room for their jobs.
     """
     columns = [target]
     train_vectors = encoder.transform(train).select(*columns, "features").persist(StorageLevel.MEMORY_AND_DISK)
     val_vectors = encoder.transform(val).select(*columns, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    trials = []
+
+    def fit(group: _Group) -> list[tuple[dict[str, float | None], PriceModel]]:
+        if group.family == "boosted":
+            stages = fit_boosted_stages(group.candidates, train_vectors, encoder, target, log, smearing)
+            predicted, dollars = stages.predicted(val_vectors)
+            each = F.inline(F.array(*[F.struct(F.lit(i).alias("stage"), d.alias("pred_model")) for i, d in enumerate(dollars)]))
+            found = metrics.regression_metrics(predicted.select(target, each), target, "pred_model", ["stage"]).collect()  # one row per candidate
+            by_stage = {r["stage"]: r for r in found}
+            return [({m: by_stage[i][m] if i in by_stage else None for m in ("MAE", "RMSE", "R2")}, model) for i, model in enumerate(stages.models())]
+        model = fit_encoded(group.family, group.candidates[0], train_vectors, encoder, target, log, smearing)
+        return [(score(model.predict(val_vectors, encoded=True), target), model)]
+
+    groups = _groups(candidates)
     try:
-        for family, params_list in candidates.items():
-            for params in params_list:
-                model = fit_encoded(family, params, train_vectors, encoder, target, log, smearing)
-                scores = score(model.predict(val_vectors, encoded=True), target)
-                trials.append(Trial(len(trials), family, dict(params), scores, model))
+        # the vectors are kept by a first job of their own, which the fits then share
+        train_vectors.count(), val_vectors.count()
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            results = list(pool.map(fit, groups))
     finally:
         train_vectors.unpersist()
         val_vectors.unpersist()
-    return trials
+    trials = [
+        Trial(number, group.family, dict(params), scores, model)
+        for group, fitted in zip(groups, results)
+        for number, params, (scores, model) in zip(group.numbers, group.candidates, fitted)
+    ]
+    return sorted(trials, key=lambda t: t.number)
+
+
+# Fits that run at the same time; their jobs share the cluster.
+SIDE_BY_SIDE = 4
+
+
+@dataclass
+class _Group:
+    """Candidates of one fit, with their numbers."""
+
+    family: str
+    numbers: list[int]
+    candidates: list[Mapping[str, Any]]
+
+
+def _groups(candidates: Mapping[str, Sequence[Mapping[str, Any]]]) -> list[_Group]:
+    """Candidates in groups of one fit: boosted ones that differ in the number of trees only, others by themselves."""
+    out: dict[str, _Group] = {}
+    number = 0
+    for family, params_list in candidates.items():
+        for params in params_list:
+            rest = {k: v for k, v in params.items() if k != "n_estimators"} if family == "boosted" else {"number": number}
+            group = out.setdefault(json.dumps([family, rest], sort_keys=True, default=str), _Group(family, [], []))
+            group.numbers.append(number)
+            group.candidates.append(params)
+            number += 1
+    return list(out.values())
 
 
 def trial_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:

@@ -323,13 +323,13 @@ def sink_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fit_params_table",
-    """SELECT 'boosted' AS family, * FROM (VALUES ('maxDepth', '4'), ('maxIter', '3'), ('not applied: early_stopping', '5'), ('not applied: reg_lambda', '1.0'),
+    """SELECT 'boosted' AS family, * FROM (VALUES ('maxDepth', '4'), ('maxIter', '3'), ('not applied: early_stopping', '5'), ('reg_lambda', '1.0'),
        ('seed', '0'), ('stepSize', '0.2'), ('subsamplingRate', '0.8')) AS v(param, value)""",
 )
 def given_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given parameters as the trainer has them, and those that it cannot follow."""
     model = fitted(frame(spark, sf_dir), "boosted", {**BOOSTED, "n_estimators": 3, "reg_lambda": 1.0, "early_stopping": 5})
-    names = ["maxIter", "maxDepth", "stepSize", "subsamplingRate", "seed"]
+    names = ["maxIter", "maxDepth", "stepSize", "subsamplingRate", "seed", "reg_lambda"]
     return model.params_table(spark).filter(F.col("param").isin(*names) | F.col("param").startswith("not applied"))
 
 

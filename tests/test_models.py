@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hedonic.models import encode, estimators, sweep
+from hedonic.models.boosting import BoostParams
 from hedonic.models.estimators import PriceModel, fit_encoded
 from hedonic.operators.split import by_year
 from hedonic.sinks.runs import RunStore
@@ -87,8 +88,8 @@ def test_ridge_solvers_agree_and_tell_when_they_do_not_converge(homes):
 
 
 def test_what_the_trainer_cannot_follow_is_reported():
-    given = {"max_depth": 40, "early_stopping": 10, "learning_rate": 0.1, "device": "cpu"}
-    assert estimators.without_counterpart("boosted", given) == {"max_depth": 40, "early_stopping": 10}
+    given = {"max_depth": 40, "early_stopping": 10, "n_estimators": 3, "n_jobs": 1}
+    assert estimators.without_counterpart("rf", given) == {"max_depth": 40, "early_stopping": 10}
     assert estimators.without_counterpart("rf", {"max_depth": 30}) == {}
     assert estimators.distinct_candidates("rf", [{"max_depth": None}, {"max_depth": 40}, {"max_depth": 20}]) == [{"max_depth": None}, {"max_depth": 20}]
     for share, want in ((None, "all"), (1.0, "all"), (1, "1"), (0.5, "0.5"), ("sqrt", "sqrt")):
@@ -124,9 +125,9 @@ def test_registry():
 def test_parameters_are_translated_or_reported(spark):
     forest = estimators.make_estimator("rf", {"n_estimators": 7, "max_depth": None, "max_features": "sqrt", "min_samples_leaf": 2})
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy(), forest.getMinInstancesPerNode()) == (7, 30, "sqrt", 2)
-    trees = estimators.make_estimator("boosted", {"n_estimators": 9, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8, "n_jobs": -1})
-    assert (trees.getMaxIter(), trees.getStepSize(), trees.getSubsamplingRate(), trees.getFeatureSubsetStrategy()) == (9, 0.05, 0.8, "0.8")
-    assert estimators.without_counterpart("boosted", {"reg_lambda": 1.0, "max_depth": 3, "n_jobs": 4}) == {"reg_lambda": 1.0}
+    trees = BoostParams.of({"n_estimators": 9, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.7, "n_jobs": -1, "reg_lambda": 2, "max_depth": None})
+    assert (trees.rounds, trees.rate, trees.subsample, trees.columns, trees.l2, trees.depth) == (9, 0.05, 0.8, 0.7, 2.0, 6)
+    assert estimators.without_counterpart("boosted", {"reg_lambda": 1.0, "max_depth": 40, "n_jobs": 4, "early_stopping": 3}) == {"early_stopping": 3}
 
 
 def trials(spark, rows):
