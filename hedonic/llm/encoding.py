@@ -15,6 +15,8 @@ from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from hedonic.llm.common import run_starts, spread
 
@@ -75,8 +77,6 @@ class ChunkEncoder:
     def forget(self) -> None:
         """Give the tables' memory back, as at the end of a task: a worker lives on for other work."""
         self._reset()
-        if isinstance(self.encode, ChunkEncoder):
-            self.encode.forget()
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
@@ -95,43 +95,116 @@ class ChunkEncoder:
         """The ids of all texts in one flat array, and the number of ids of each text."""
         if len(self.numbers) > MAX_CHUNKS or self.chars > MAX_CHARS:
             self._reset()
+        sizes, which = self._numbered(texts)
+        self._learn()
+        lengths = self.counts[which]
+        ids = self.ids[spread(self.starts[which], lengths)]
+        ends = run_starts(lengths)[run_starts(sizes)]
+        return ids, np.diff(ends)
+
+    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of chunks of each text, and the numbers of all chunks."""
         number, split = self.numbers.__getitem__, self.split
         sizes, found = [], []
         for text in texts:
             chunks = split(text)
             sizes.append(len(chunks))
             found.extend(map(number, chunks))
-        self._learn()
-        which = np.array(found, dtype=np.int64)
-        lengths = self.counts[which]
-        ids = self.ids[spread(self.starts[which], lengths)]
-        ends = run_starts(lengths)[run_starts(np.array(sizes, dtype=np.int64))]
-        return ids, np.diff(ends)
+        return np.array(sizes, dtype=np.int64), np.array(found, dtype=np.int64)
+
+
+class SpacedEncoder(ChunkEncoder):
+    """The same for texts that are cut at spaces: Arrow cuts them and finds the distinct chunks of a call.
+
+    Marks after a word are pieces of their own, so that the table knows words and marks
+    (see ``only_letters``). Texts with gaps of several spaces are cut one by one.
+    """
+
+    def __init__(self, keeps_space: bool, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.keeps_space = keeps_space
+        super().__init__(spaced_chunks if keeps_space else bare_chunks, encode)
+
+    def _odd(self, text: str) -> bool:
+        return self.keeps_space and (text[:1] == " " or _AFTER_GAP.search(text) is not None)
+
+    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        odd = {k: super(SpacedEncoder, self)._numbered([t])[1] for k, t in enumerate(texts) if self._odd(t)}
+        usual = [k for k in range(len(texts)) if k not in odd]
+        cut = pc.split_pattern(pa.array([texts[k] if self.keeps_space else texts[k].replace("\n", " ") for k in usual], pa.large_string()), " ")
+        ends = run_starts(pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64))
+        chunks = cut.flatten().dictionary_encode()
+        codes, chunks = chunks.indices.to_numpy(zero_copy_only=False), chunks.dictionary
+        words, marks = self._pieces(chunks)
+        # each chunk is a word and, where it has them, the marks after it
+        parts = 1 + (marks >= 0)
+        starts = run_starts(parts[codes])
+        pieces = np.empty(int(starts[-1]), dtype=np.int64)
+        pieces[starts[:-1]] = words[codes]
+        marked = np.flatnonzero(marks[codes] >= 0)
+        pieces[starts[marked] + 1] = marks[codes[marked]]
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        sizes[usual] = np.diff(starts[ends])
+        if self.keeps_space and len(usual):
+            # a text's first chunk has no space before it: it is taken whole
+            leads = ends[:-1]
+            pieces[starts[leads]] = [self.numbers[c] for c in _strings(chunks.take(pa.array(codes[leads])))]
+            double = leads[marks[codes[leads]] >= 0]
+            sizes[np.array(usual)[marks[codes[leads]] >= 0]] -= 1
+            pieces = np.delete(pieces, starts[double] + 1)
+        if not odd:
+            return sizes, pieces
+        for k, own in odd.items():
+            sizes[k] = len(own)
+        starts = run_starts(sizes)
+        which = np.empty(int(starts[-1]), dtype=np.int64)
+        which[spread(starts[usual], sizes[usual])] = pieces
+        for k, own in odd.items():
+            which[starts[k] : starts[k + 1]] = own
+        return sizes, which
+
+    def _pieces(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the word (with the space before it) and of the marks of distinct chunks; -1 where there are none to cut off."""
+        words = pc.utf8_rtrim(chunks, MARKS)
+        marks = np.full(len(chunks), -1, dtype=np.int64)
+        shorter = pc.not_equal(pc.binary_length(words), pc.binary_length(chunks)).to_numpy(zero_copy_only=False)
+        letters = only_letters(words.filter(pa.array(shorter)))
+        cut = np.flatnonzero(shorter)[letters]
+        whole = np.ones(len(chunks), dtype=bool)
+        whole[cut] = False
+        found = pc.if_else(pa.array(whole), chunks, words)
+        at = pa.array(cut)
+        marks[cut] = [self.numbers[c[len(w) :]] for c, w in zip(_strings(chunks.take(at)), _strings(words.take(at)))]
+        coded = found.dictionary_encode()
+        names = coded.dictionary
+        if self.keeps_space:
+            names = pc.binary_join_element_wise(pa.scalar(" ", names.type), names, pa.scalar("", names.type))
+        known = np.fromiter(map(self.numbers.__getitem__, _strings(names)), dtype=np.int64, count=len(names))
+        return known[coded.indices.to_numpy(zero_copy_only=False)], marks
 
 
-_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 # Words encoded in one call, and the marks that are cut off a word's end.
 JOINED = 1000
 MARKS = ".,!?"
 
 
-def word_and_marks(chunk: str) -> list[str]:
-    """A chunk as its word and the marks after it, if it is made of just those; else the chunk itself.
+def _strings(texts: pa.Array) -> list[str]:
+    """The same as ``to_pylist``, made in one go."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
-    Encoders cut between letters and marks, so both may be encoded by themselves. The
-    word must be letters in the normal form and lower case that encoders may apply.
-    """
-    word = chunk.rstrip(MARKS)
-    letters = word[1:] if word[:1] == " " else word
-    if len(word) < len(chunk) and _only_letters(letters):
-        return [word, chunk[len(word) :]]
-    return [chunk]
 
+def only_letters(words: pa.Array) -> np.ndarray:
+    """Which texts are letters in the normal form and lower case that encoders may apply.
 
-def _only_letters(word: str) -> bool:
-    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+    Encoders cut between letters and marks, so a word of those and the marks after it
+    (``MARKS``) may be encoded by themselves.
+    """
+    plain = pc.ascii_is_alpha(words).to_numpy(zero_copy_only=False).copy()
+    others = np.flatnonzero(~plain & ~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))
+    plain[others] = [w.isalpha() and unicodedata.normalize("NFC", w).lower().isalpha() for w in _strings(words.take(pa.array(others)))]
+    return plain
 
 
+_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 class _Library:
     """A tokenizer of the library that encodes many distinct pieces."""
 
@@ -164,10 +237,12 @@ class _Library:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces in one flat array, and the number of ids of each."""
-        plain, other = [], []
-        for k, piece in enumerate(pieces):
-            letters = piece if not self.spaced else piece[1:] if piece[:1] == " " else ""
-            (plain if _only_letters(letters) else other).append(k)
+        words = pa.array(pieces, pa.large_string())
+        if self.spaced:
+            letters = only_letters(pc.utf8_slice_codeunits(words, 1)) & pc.starts_with(words, " ").to_numpy(zero_copy_only=False)
+        else:
+            letters = only_letters(words)
+        plain, other = np.flatnonzero(letters).tolist(), np.flatnonzero(~letters).tolist()
         parts = [self._joined([pieces[k] for k in plain[lo : lo + JOINED]]) for lo in range(0, len(plain), JOINED)]
         parts.append(self._each([pieces[k] for k in other]))
         flat, sizes = (np.concatenate(x) for x in zip(*parts))
@@ -180,8 +255,7 @@ def library_encoder(name: str, keeps_space: bool) -> ChunkEncoder:
     """A worker's encoder for a tokenizer file of the tokenizers library; the tokenizer is kept between tasks."""
     key = (name, keeps_space)
     if key not in _ENCODERS:
-        words = ChunkEncoder(word_and_marks, _Library(name, keeps_space).encode)
-        _ENCODERS[key] = ChunkEncoder(spaced_chunks if keeps_space else bare_chunks, words)
+        _ENCODERS[key] = SpacedEncoder(keeps_space, _Library(name, keeps_space).encode)
     return _ENCODERS[key]
 
 
