@@ -176,8 +176,10 @@ def _sums(block: Block, layout: Layout, wanted: Sequence[int], nodes: int) -> tu
 
 
 def _score(g: np.ndarray, h: np.ndarray, params: BoostParams) -> np.ndarray:
-    shrunk = np.sign(g) * np.maximum(np.abs(g) - params.l1, 0)
-    return np.divide(shrunk * shrunk, h + params.l2, out=np.zeros_like(shrunk), where=h + params.l2 > 0)
+    if params.l1:
+        g = np.sign(g) * np.maximum(np.abs(g) - params.l1, 0)
+    weight = h + params.l2
+    return np.divide(g * g, weight, out=np.zeros(g.shape), where=weight > 0)
 
 
 def _value(g: float, h: float, params: BoostParams) -> float:
@@ -185,20 +187,19 @@ def _value(g: float, h: float, params: BoostParams) -> float:
     return float(-params.rate * shrunk / (h + params.l2)) if h + params.l2 > 0 else 0.0
 
 
-def _best(g: np.ndarray, h: np.ndarray, layout: Layout, open_cells: np.ndarray, params: BoostParams) -> tuple[int, float, float, float, float, float]:
-    """The best cell of a node with its gain, the left child's sums and the node's; the first cell among equal ones."""
-    last = slice(layout.offsets[0], layout.offsets[1])
-    total_g, total_h = float(g[last].sum()), float(h[last].sum())
-    left_g, left_h = total_g - g, total_h - h
+def _bests(g: np.ndarray, h: np.ndarray, layout: Layout, open_cells: np.ndarray, params: BoostParams) -> Iterator[tuple[int, float, float, float, float, float]]:
+    """For each node its best cell (the first among equal ones) with the gain, the left child's sums and the node's."""
+    total_g, total_h = g[:, : layout.sizes[0]].sum(axis=1), h[:, : layout.sizes[0]].sum(axis=1)
+    left_g, left_h = total_g[:, None] - g, total_h[:, None] - h
     for c in range(layout.numeric):
         span = slice(layout.offsets[c], layout.offsets[c + 1])
-        left_g[span], left_h[span] = np.cumsum(g[span]), np.cumsum(h[span])
-    right_g, right_h = total_g - left_g, total_h - left_h
-    gain = _score(left_g, left_h, params) + _score(right_g, right_h, params) - _score(np.array([total_g]), np.array([total_h]), params)
-    fits = open_cells & (left_h >= max(params.min_child_weight, 1)) & (right_h >= max(params.min_child_weight, 1))
-    gain = np.where(fits, gain, -np.inf)
-    cell = int(np.argmax(gain))
-    return cell, float(gain[cell]), float(left_g[cell]), float(left_h[cell]), total_g, total_h
+        left_g[:, span], left_h[:, span] = np.cumsum(g[:, span], axis=1), np.cumsum(h[:, span], axis=1)
+    right_g, right_h = total_g[:, None] - left_g, total_h[:, None] - left_h
+    least = max(params.min_child_weight, 1)
+    gain = _score(left_g, left_h, params) + _score(right_g, right_h, params) - _score(total_g, total_h, params)[:, None]
+    gain[~(open_cells & (left_h >= least) & (right_h >= least))] = -np.inf
+    cell, node = np.argmax(gain, axis=1), np.arange(len(g))
+    return zip(cell.tolist(), gain[node, cell].tolist(), left_g[node, cell].tolist(), left_h[node, cell].tolist(), total_g.tolist(), total_h.tolist())
 
 
 class _Local:
@@ -315,8 +316,8 @@ def _grow(work: _Local | _Spread, layout: Layout, params: BoostParams, number: i
     tree.add(_value(g[0][: layout.sizes[0]].sum(), h[0][: layout.sizes[0]].sum(), params), h[0][: layout.sizes[0]].sum())
     for depth in range(params.depth):
         fresh, small = [], []
-        for n in level:
-            cell, gain, left_g, left_h, total_g, total_h = _best(*held[n], layout, open_cells, params)
+        found = _bests(np.stack([held[n][0] for n in level]), np.stack([held[n][1] for n in level]), layout, open_cells, params)
+        for n, (cell, gain, left_g, left_h, total_g, total_h) in zip(level, found):
             if not gain > max(params.gamma, LEAST_GAIN):
                 held.pop(n)
                 continue
@@ -334,7 +335,11 @@ def _grow(work: _Local | _Spread, layout: Layout, params: BoostParams, number: i
             whole = held.pop(n)
             other = tree.right[n] if small[k] == tree.left[n] else tree.left[n]
             held[small[k]], held[other] = (g[k], h[k]), (whole[0] - g[k], whole[1] - h[k])
-            level += [tree.left[n], tree.right[n]]
+            # a child of fewer rows than two children need is a leaf
+            level += [child for child in (tree.left[n], tree.right[n]) if tree.count[child] >= 2 * max(params.min_child_weight, 1)]
+        if not level:
+            fresh = []
+            break
     work.finish(tree, fresh if params.depth else [])
     return tree
 
