@@ -56,5 +56,5 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_is_registered():
     import __spark_entry__
 
-    assert {int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
