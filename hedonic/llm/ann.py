@@ -56,6 +56,11 @@ def _matrix(rows: pd.Series) -> np.ndarray:
     return np.stack(rows.to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 0))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, exactly, with largest components near 1: squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) if len(x) else x
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     # scaled first, so that neither very small nor very large numbers leave the range
     x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -70,9 +75,11 @@ def build_index(classes: DataFrame, shards: int) -> DataFrame:
         rows = rows.sort_values("class_id")
         vectors = _matrix(rows["v"])
         graph = Graph.build(_unit(vectors))
-        return pd.DataFrame({"shard": [key[0]], "class_ids": [rows["class_id"].to_numpy(np.int64).tobytes()], "vectors": [vectors.tobytes()], "edges": [graph.to_bytes()], "entry": [graph.entry]})
+        return pd.DataFrame({"shard": [key[0]], "class_ids": [rows["class_id"].to_numpy(np.int64).tobytes()], "vectors": [vectors.tobytes()], "edges": [graph.to_bytes()], "entries": [graph.entries.tobytes()]})
 
-    return placed.groupBy("shard").applyInPandas(build, "shard int, class_ids binary, vectors binary, edges binary, entry int")
+    # rows are small, but a graph takes long: partitions of a given number aren't put together
+    dealt = placed.repartition(2 * shards, "shard")
+    return dealt.groupBy("shard").applyInPandas(build, "shard int, class_ids binary, vectors binary, edges binary, entries binary")
 
 
 def search(index: DataFrame, queries: DataFrame, shards: int, blocks: int, nearest: int, width: int) -> DataFrame:
@@ -87,12 +94,12 @@ def search(index: DataFrame, queries: DataFrame, shards: int, blocks: int, neare
             return out
         row = graphs.iloc[0]
         ids = np.frombuffer(row["class_ids"], dtype=np.int64)
-        vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(len(ids), -1)
-        graph = Graph(_unit(vectors), np.frombuffer(row["edges"], dtype=np.int32).reshape(len(ids), -1), int(row["entry"]))
+        vectors = _scaled(np.frombuffer(row["vectors"], dtype=np.float64).reshape(len(ids), -1))
+        graph = Graph(_unit(vectors), np.frombuffer(row["edges"], dtype=np.int32).reshape(len(ids), -1), np.frombuffer(row["entries"], dtype=np.int64))
         sizes, found = np.sqrt((vectors * vectors).sum(axis=1)), [out]
         for lo in range(0, len(asked), BATCH):
             some = asked.iloc[lo : lo + BATCH]
-            q = _matrix(some["q"])
+            q = _scaled(_matrix(some["q"]))
             # all nodes of the final list, so that equal similarities in single precision are ordered in double
             near = graph.search(_unit(q), max(width, nearest))[0]
             r, c = np.nonzero(near >= 0)

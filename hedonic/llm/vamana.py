@@ -1,11 +1,16 @@
 """A robust-pruned directed graph over unit vectors, built and searched with numpy.
 
 Every node starts with random neighbours. Node by node (a batch at a time) a greedy
-search from the medoid proposes neighbours; relaxed distance pruning keeps the nearest,
-drops whatever is closer to a kept one than to the node, by a factor, and so leaves edges
-in all directions. Kept edges are added the other way round too and pruned again where
-they are too many. Nodes that the medoid doesn't reach are chained to a near node that it
-does reach, so a search wide enough finds everything.
+search proposes neighbours; relaxed distance pruning keeps the nearest, drops
+whatever is closer to a kept one than to the node, by a factor, and so leaves edges in
+all directions. Kept edges are added the other way round too and pruned again where
+they are too many.
+
+Searches begin at the entries nearest to the query. Entries are about two square roots of
+the number of nodes, each taken farthest from those before, so a group that lies apart
+from all others has one of its own, and a beam isn't led into another group that fills it.
+Nodes that no entry reaches are chained to a near node that one does reach, so a search
+wide enough finds everything.
 """
 
 from __future__ import annotations
@@ -14,13 +19,15 @@ import numpy as np
 
 BATCH = 256
 EXPANDED = 4
+# Entries that a search begins with.
+BEGUN = 8
 
 
 class Graph:
-    """Neighbours of each node (-1 where there are fewer), and the node where searches begin."""
+    """Neighbours of each node (-1 where there are fewer), and the nodes where searches may begin."""
 
-    def __init__(self, vectors: np.ndarray, edges: np.ndarray, entry: int):
-        self.vectors, self.edges, self.entry = vectors, edges, entry
+    def __init__(self, vectors: np.ndarray, edges: np.ndarray, entries: np.ndarray):
+        self.vectors, self.edges, self.entries = vectors, edges, entries
 
     @classmethod
     def build(cls, vectors: np.ndarray, degree: int = 28, width: int = 56, relaxed: float = 1.2, seed: int = 3) -> Graph:
@@ -31,8 +38,7 @@ class Graph:
             own = np.arange(n)[:, None]
             drawn = rng.integers(0, n - 1, (n, min(degree, n - 1)))
             edges[:, : drawn.shape[1]] = _unique_rows(drawn + (drawn >= own))
-        centre = vectors.mean(axis=0) if n else np.zeros(0)
-        graph = cls(vectors, edges, int(np.argmax(vectors @ centre)) if n else 0)
+        graph = cls(vectors, edges, _spread_out(vectors, int(np.ceil(2 * np.sqrt(n)))))
         for factor in (1.0, relaxed):
             order = rng.permutation(n)
             for lo in range(0, n, BATCH):
@@ -92,7 +98,7 @@ class Graph:
         if n == 0:
             return
         reached = np.zeros(n, dtype=bool)
-        front = np.array([self.entry])
+        front = self.entries
         reached[front] = True
         while len(front):
             nxt = np.unique(self.edges[front])
@@ -117,9 +123,12 @@ class Graph:
         fresh = np.zeros((b, width), dtype=bool)
         if not n or not b:
             return ids, score, ids
-        ids[:, 0], score[:, 0], fresh[:, 0] = self.entry, queries @ self.vectors[self.entry], True
+        first = queries @ self.vectors[self.entries].T
+        begun = np.argsort(-first, axis=1, kind="stable")[:, : min(BEGUN, width)]
+        k = begun.shape[1]
+        ids[:, :k], score[:, :k], fresh[:, :k] = self.entries[begun], np.take_along_axis(first, begun, axis=1), True
         seen = np.zeros((b, n), dtype=bool)
-        seen[:, self.entry] = True
+        np.put_along_axis(seen, ids[:, :k], True, axis=1)
         expanded = []
         while True:
             # scores are in order: the first fresh ones are the nearest
@@ -154,6 +163,21 @@ class Graph:
         return self.edges.tobytes()
 
 
+def _spread_out(vectors: np.ndarray, count: int) -> np.ndarray:
+    """``count`` different nodes (all, if fewer): the one nearest the mean, then always the one farthest from those taken."""
+    n = len(vectors)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    out = np.zeros(min(count, n), dtype=np.int64)
+    out[0] = np.argmax(vectors @ vectors.mean(axis=0))
+    nearest = np.full(n, -np.inf, dtype=np.float32)
+    for k in range(1, len(out)):
+        nearest = np.maximum(nearest, vectors @ vectors[out[k - 1]])
+        nearest[out[k - 1]] = np.inf
+        out[k] = np.argmin(nearest)
+    return out
+
+
 def _distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * cosine, 0))
 
