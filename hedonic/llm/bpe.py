@@ -6,6 +6,10 @@ stand in one flat array, and every round looks up all neighbouring pairs by bina
 over the sorted pair keys, finds each word's lowest rank and merges that pair wherever it
 stands in the word, from the left. The rounds end when no word has a mergeable pair.
 
+A word of more than ``LONG_WORD`` bytes would need as many rounds over all its symbols. In
+such words a round merges one rank wherever it stands, the places of each rank being kept
+in a heap, and looks up only the pairs beside the merged places.
+
 Decoding gathers the bytes of all ids from one flat table.
 
 Defined cases: a NULL text counts as empty and has no ids; special tokens are found in
@@ -16,6 +20,7 @@ rows are encoded each; an empty table gives no rows; other columns are not carri
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 from pathlib import Path
@@ -34,6 +39,7 @@ TOKENIZER = "byte_bpe_50k.json"
 # Words whose ids a task keeps, and bytes merged at a time.
 MAX_WORDS = 400_000
 MERGED_BYTES = 1 << 20
+LONG_WORD = 512
 
 
 def byte_letters() -> dict[str, int]:
@@ -88,6 +94,12 @@ class Bpe:
         # symbols of words that still change; finished words are set aside
         done_symbols, done_owner = [], []
         none = len(self.merged)
+        long = np.repeat(sizes > LONG_WORD, sizes)
+        if long.any():
+            merged = self._merge_long(symbols[long], owner[long])
+            done_symbols.append(merged[0])
+            done_owner.append(merged[1])
+            symbols, owner = symbols[~long], owner[~long]
         while len(symbols):
             keys = symbols[:-1] * self.size + symbols[1:]
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -118,6 +130,55 @@ class Bpe:
         order = np.argsort(owners, kind="stable")
         return ids[order].astype(np.uint32), np.bincount(owners, minlength=len(words))
 
+    def _merge_long(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and owners that are left of long words, merged rank by rank."""
+        n, none = len(symbols), len(self.merged)
+        # one place more stands for the end on both sides
+        symbols, owner = np.r_[symbols, 0], np.r_[owner, -1]
+        after, before = np.minimum(np.arange(1, n + 2), n), np.r_[n, np.arange(n)]
+        alive, rank = np.ones(n + 1, dtype=bool), np.full(n + 1, none, dtype=np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def look_up(places: np.ndarray) -> None:
+            right = after[places]
+            keys = symbols[places] * self.size + symbols[right]
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            found = np.where((self.keys[at] == keys) & (owner[places] == owner[right]), self.ranks[at], none)
+            rank[places] = found
+            order = np.argsort(found, kind="stable")
+            found, places = found[order], places[order]
+            cuts = [0, *(np.flatnonzero(found[1:] != found[:-1]) + 1).tolist(), len(found)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                r = int(found[lo])
+                if r == none:
+                    break
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].append(places[lo:hi])
+
+        look_up(np.arange(n))
+        while heap:
+            r = heapq.heappop(heap)
+            places = np.unique(np.concatenate(waiting.pop(r)))
+            # places whose pair has changed since are looked up anew already
+            places = places[rank[places] == r]
+            if not len(places):
+                continue
+            if len(places) > 1:
+                # of overlapping pairs every second one from the left, as in the rounds of short words
+                fresh = np.r_[True, after[places[:-1]] != places[1:]]
+                number = np.arange(len(places))
+                places = places[(number - np.maximum.accumulate(np.where(fresh, number, 0))) & 1 == 0]
+            right = after[places]
+            beyond = after[right]
+            symbols[places], after[places], before[beyond] = self.merged[r], beyond, places
+            alive[right], rank[right] = False, none
+            changed = np.unique(np.r_[places, before[places]])
+            look_up(changed[changed < n])
+        return symbols[:n][alive[:n]], owner[:n][alive[:n]]
+
     def _learn(self, words: list[str]) -> None:
         batch, size = [], 0
         for k, word in enumerate(words):
