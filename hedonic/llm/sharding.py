@@ -25,8 +25,9 @@ SHARDS = 16
 
 def score(keys: Sequence[Column], shard: int, weight: float) -> Column:
     """The weighted score of one shard for a record key: weight / -ln(u), u drawn from key and shard."""
-    draw = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(shard).cast("long")), 11)
-    u = (draw.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    # 52 bits and a half more fit a double, so u is never 1 and its logarithm never 0
+    draw = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(shard).cast("long")), 12)
+    u = (draw.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
     return F.lit(float(weight)) / -F.log(u)
 
 

@@ -5,24 +5,28 @@ when the path of the URL starts with its own; the deepest host, then the longest
 wins, whatever its verdict. Of equal rules the blocking one holds.
 
 Rules are collected and broadcast in sets of a fixed largest size. More rules than one
-set make further passes over the (already narrow) URLs, and the longest match of all
-passes counts, so neither the driver nor a task ever holds more than one set.
+set make further passes over the URLs, each written out and its set given back before the
+next one is collected, so neither the driver nor a task ever holds more than one set; the
+longest match of all passes counts.
 
 Defined cases: a NULL URL, or one without ``://``, has an empty host and path and fits no
 rule; no fitting rule gives a NULL rule and the default verdict; empty tables give no
-rows; repeated rows are judged each; input columns named like the results are replaced.
+rows; repeated rows are judged each; input columns named host, path, rule or verdict are
+replaced by the results, all others are kept whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hedonic.llm.common import table
+from hedonic.session import written
 
 # So many rules at most are collected and broadcast at a time.
 RULES_PER_PASS = 200_000
@@ -92,9 +96,9 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _match(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """``urls`` with the longest rule of one set, as a struct that orders by host depth and path length."""
-    shared = urls.sparkSession.sparkContext.broadcast(Trie(rules))
+def _matcher(spark: SparkSession, rules: list[tuple[str, str, str]]) -> tuple[Callable[..., Column], Broadcast]:
+    """The longest rule of one set for a host and a path, as a struct that orders by host depth and path length; the set sent out."""
+    shared = spark.sparkContext.broadcast(Trie(rules))
     kind = T.StructType.fromDDL("depth int, long int, blocks boolean, host string, path string")
 
     @F.pandas_udf(kind)
@@ -105,7 +109,7 @@ def _match(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
             rows = [(len(r[0].split(".")), len(r[1]), r[2] == "block", r[0], r[1]) if r else (-1, -1, False, "", "") for r in found]
             yield pd.DataFrame(rows, columns=kind.names).astype({"depth": "int32", "long": "int32"})
 
-    return urls.withColumn("_found", search("host", "path"))
+    return search, shared
 
 
 def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", per_pass: int = RULES_PER_PASS) -> DataFrame:
@@ -118,21 +122,24 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     # twice the passes needed on average, so that sets uneven by hashing stay below the largest size
     passes = passes if passes == 1 else 2 * passes
     number = F.pmod(F.xxhash64("host", "path"), F.lit(passes))
-    out = df.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    # the input's columns stay apart in a struct, so none of them meets a working column
+    out = df.select(F.struct("*").alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     for k in range(passes):
-        some = [tuple(r) for r in rules.filter(number == k).collect()]
-        out = _match(out, some)
-        if k:
-            out = out.withColumn("_best", F.greatest("_best", "_found")).drop("_found")
-        else:
-            out = out.withColumnRenamed("_found", "_best")
-    fits = F.col("_best.depth") >= 0
-    return out.withColumns(
-        {
-            "rule": F.when(fits, F.concat("_best.host", "_best.path")),
-            "verdict": F.when(~fits, F.lit(default)).when(F.col("_best.blocks"), F.lit("block")).otherwise(F.lit("allow")),
-        }
-    ).drop("_best")
+        search, shared = _matcher(df.sparkSession, [tuple(r) for r in rules.filter(number == k).collect()])
+        found = out.withColumn("found", search("host", "path"))
+        out = found.select("row", "host", "path", (F.greatest("best", "found") if k else F.col("found")).alias("best"))
+        if passes > 1:
+            out = written(out, "judged-urls")
+            shared.destroy()
+    fits = F.col("best.depth") >= 0
+    results = {
+        "host": F.col("host"),
+        "path": F.col("path"),
+        "rule": F.when(fits, F.concat("best.host", "best.path")),
+        "verdict": F.when(~fits, F.lit(default)).when(F.col("best.blocks"), F.lit("block")).otherwise(F.lit("allow")),
+    }
+    own = [F.col("row")[c].alias(c) for c in df.columns if c not in results]
+    return out.select(*own, *[c.alias(name) for name, c in results.items()])
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
