@@ -324,3 +324,37 @@ def test_graph_reaches_everything(n):
 
 def test_clashing_names_are_really_in_the_input(spark):
     assert set(CLASHING) <= set(documents(spark, clashing=True).columns)
+
+
+@pytest.mark.parametrize("clusters,spread", [(10, 0.5), (40, 0.5), (40, 0.05), (200, 0.5)])
+def test_graph_finds_neighbours_inside_clusters(clusters, spread):
+    """Groups far apart that are larger than a node's degree and a search's width."""
+    rnd = np.random.default_rng(clusters)
+    x = rnd.standard_normal((3000, 32)) * spread + (3 * rnd.standard_normal((clusters, 32)))[rnd.integers(0, clusters, 3000)]
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    found = Graph.build(x).search(x[:150], ann.SEARCH_WIDTH)[0][:, :6]
+    exact = np.argsort(-(x[:150] @ x.T), axis=1)[:, :6]
+    assert np.mean([len(set(f.tolist()) & set(e.tolist())) / 6 for f, e in zip(found, exact)]) >= 0.95
+
+
+def test_scores_of_very_large_and_small_components(spark):
+    vectors = {0: [1e200, 0.0], 1: [1.0, 0.0], 2: [1e-200, 1e-200], 3: [-3e307, 1e307], 4: [0.0, 5e-324]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in ann.nearest_neighbours(df, F.col("vec_id") < 5).collect()}
+    unit = {k: np.array(v) / max(map(abs, v)) for k, v in vectors.items()}
+    assert got.keys() == {(a, b) for a in vectors for b in vectors if a != b}
+    for (a, b), score in got.items():
+        assert score == pytest.approx(unit[a] @ unit[b] / np.linalg.norm(unit[a]) / np.linalg.norm(unit[b]), abs=1e-12)
+
+
+@pytest.mark.parametrize("per_pass", [100, 2])
+def test_urls_keep_columns_of_any_name(spark, per_pass):
+    pages = spark.createDataFrame([(1, "http://m.example.com/en/2", 7, 8, 9, 10, "old")], "page_id long, url string, _best long, _found long, best long, row long, rule string")
+    given = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    (got,) = urlfilter.judge(pages, given, per_pass=per_pass).collect()
+    assert got.asDict() == {"page_id": 1, "url": "http://m.example.com/en/2", "_best": 7, "_found": 8, "best": 9, "row": 10, "host": "m.example.com", "path": "/en/2", "rule": "example.com/en/", "verdict": "block"}
+
+
+def test_largest_draw_of_a_shard_has_a_finite_score(spark):
+    u = (F.lit((1 << 52) - 1).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+    assert spark.range(1).select((F.lit(1.0) / -F.log(u)).alias("s")).first()["s"] > 1e15

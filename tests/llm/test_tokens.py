@@ -232,3 +232,14 @@ def test_packing_documents(spark):
     for s, r in whole.items():
         parts = sorted(((p["offset"], bytes(p["ids"])) for p in got if p["sequence_id"] == s))
         assert bytes(r["ids"]) == b"".join(p for _, p in parts) and r["length"] == at[s]
+
+
+def test_long_words_equal_the_library():
+    """Words without spaces, in which a round per merge over all symbols would take minutes."""
+    codec, tokenizer, rnd = bpe.Bpe(public_tokenizers.path(bpe.TOKENIZER)), library(bpe.TOKENIZER), random.Random(6)
+    texts = ["".join(rnd.choices(letters, k=k)) for letters in ("ab", "etaoin", "the", "é漢a", "x", "=-", "0123456789") for k in (511, 513, 20_000)]
+    texts += ["ab " + "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=160_000)) + " the word"]
+    ids, counts = codec.encode(texts)
+    for text, own in zip(texts, encoding.documents_of(ids, counts)):
+        assert own.tolist() == ids_of(tokenizer, text), text[:40]
+    assert codec.decode(ids).decode() == "".join(texts)
