@@ -84,24 +84,34 @@ def range_filter(df: DataFrame, column: str, low: float | None = None, high: flo
 
 def percentile_cap(df: DataFrame, column: str, max_percentile: float | None = None, min_percentile: float | None = None) -> DataFrame:
     """Limit values to exact percentiles of the column, both taken before either is applied."""
-    wanted = [p for p in (max_percentile, min_percentile) if p is not None]
-    if not wanted or not is_numeric(df.schema[column].dataType):
-        return df
-    limits = dict(zip(wanted, column_quantiles(df, [column], [p / 100.0 for p in wanted])[column]))
-    high = limits[max_percentile] if max_percentile is not None else None
-    low = limits[min_percentile] if min_percentile is not None else None
-    return df.withColumn(column, clip(clip(F.col(column), high=high), low=low))
+    return apply_filters(df, {column: {"max_percentile": max_percentile, "min_percentile": min_percentile}})
 
 
 def apply_filters(df: DataFrame, filters: Mapping[str, Mapping[str, Any]]) -> DataFrame:
     """Range filter and percentile cap column by column, in the given order.
 
-    The order matters: a cap is computed on the rows that the columns before left.
+    The order matters: a cap is computed on the rows that the columns before left. All
+    percentiles come from one fit nevertheless: the values of a column count in it where
+    the row passes the ranges up to that column, and a cap changes no other column's range.
     """
+    kept, counted, capped = F.lit(True), {}, {}
     for column, spec in filters.items():
-        if column in df.columns:
-            df = range_filter(df, column, spec.get("min"), spec.get("max"))
-            df = percentile_cap(df, column, spec.get("max_percentile"), spec.get("min_percentile"))
+        if column not in df.columns:
+            continue
+        if spec.get("min") is not None:
+            kept = kept & (F.col(column) >= spec["min"])
+        if spec.get("max") is not None:
+            kept = kept & (F.col(column) <= spec["max"])
+        wanted = [spec[p] for p in ("max_percentile", "min_percentile") if spec.get(p) is not None]
+        if wanted and is_numeric(df.schema[column].dataType):
+            counted[column], capped[column] = F.when(kept, F.col(column)).alias(column), wanted
+    if capped:
+        percentiles = sorted({p for wanted in capped.values() for p in wanted})
+        limits = column_quantiles(df.select(*counted.values()), list(capped), [p / 100.0 for p in percentiles])
+    df = df.filter(kept)
+    for column in capped:
+        limit, spec = dict(zip(percentiles, limits[column])), filters[column]
+        df = df.withColumn(column, clip(clip(F.col(column), high=limit.get(spec.get("max_percentile"))), low=limit.get(spec.get("min_percentile"))))
     return df
 
 

@@ -201,3 +201,17 @@ def test_predictions_need_both_columns(spark, tmp_path):
     spark.createDataFrame([(1.0,)], "price double").write.parquet(path)
     with pytest.raises(ValueError, match="pred_model"):
         scan_predictions(spark, path)
+
+
+def test_all_caps_come_from_one_fit(spark, monkeypatch):
+    rows = [(float(i), float(100 - i), float(i % 7) if i % 5 else None) for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    filters = {"a": {"min": 20, "max_percentile": 90, "min_percentile": 5}, "b": {"max": 60, "max_percentile": 75}, "c": {"max_percentile": 50}}
+    one_by_one = df
+    for column, spec in filters.items():
+        one_by_one = clean.apply_filters(one_by_one, {column: spec})
+    fits, fit = [], clean.column_quantiles
+    monkeypatch.setattr(clean, "column_quantiles", lambda *given: fits.append(given) or fit(*given))
+    together = clean.apply_filters(df, filters)
+    assert len(fits) == 1 and sorted(map(str, together.collect())) == sorted(map(str, one_by_one.collect()))
+    assert clean.apply_filters(df, {"a": {"min": 101}, "b": {"max_percentile": 50}}).count() == 0
