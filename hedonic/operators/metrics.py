@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hedonic.functions.scalars import slice_label
+from hedonic.functions.scalars import slice_label, zip_normalize
+from hedonic.operators.clean import ZIP_COLUMNS
 from hedonic.operators.quantiles import exact_quantiles
 
 
@@ -62,11 +63,13 @@ def slices_single(
 ) -> DataFrame:
     """The worst ``topk`` values of each dimension by MAE, among values with enough rows.
 
+    Values are trimmed, and ZIP columns normalised, so that ``501.0`` and ``00501`` are one.
     All dimensions are aggregated together; the rank filter lets Spark keep only
     ``topk`` rows per dimension and task before the last shuffle.
     """
     present = [d for d in dimensions if d in df.columns]
-    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.trim(F.col(d).cast("string")).alias("value")) for d in present])
+    values = {d: zip_normalize(F.col(d), df.schema[d].dataType) if d in ZIP_COLUMNS else F.trim(F.col(d).cast("string")) for d in present}
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), value.alias("value")) for d, value in values.items()])
     long = df.select(F.abs(F.col(actual) - F.col(prediction)).alias("_e"), F.inline(pairs)).filter(F.col("value").isNotNull())
     groups = long.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("_e").alias("MAE"))
     worst = Window.partitionBy("dimension").orderBy(F.desc("MAE"), F.asc("value"))

@@ -128,12 +128,15 @@ _ERRORS = "errs AS (SELECT *, abs(price - pred_model) AS e FROM preds)"
             f"SELECT '{d}' AS dimension, trim({d}) AS value, count(*) AS n, avg(e) AS mae FROM errs WHERE {d} IS NOT NULL GROUP BY trim({d}) HAVING count(*) >= 30"
             for d in _DIMENSIONS
         )
+        + """ UNION ALL SELECT 'zip' AS dimension, lpad(regexp_replace(regexp_replace(trim(zip_raw), '\\.0$', ''), '[^0-9]', '', 'g'), 5, '0') AS value,
+                  count(*) AS n, avg(e) AS mae FROM errs WHERE zip_raw IS NOT NULL GROUP BY ALL HAVING count(*) >= 30"""
         + ")) WHERE rank <= 20",
         _ERRORS,
     ),
 )
 def slices_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(metrics.slices_single(predicted_sales(spark, sf_dir), [*_DIMENSIONS, "no_such_column"], min_count=30, topk=20), 4, "MAE")
+    df = predicted_sales(spark, sf_dir).withColumn("zip", F.col("zip_raw"))
+    return rounded(metrics.slices_single(df, [*_DIMENSIONS, "zip", "no_such_column"], min_count=30, topk=20), 4, "MAE")
 
 
 SLICES_MULTI = """SELECT state, city, count(*) AS count, round(avg(e), 4) AS "MAE", round(sqrt(avg(e * e)), 4) AS "RMSE"

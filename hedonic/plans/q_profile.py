@@ -71,8 +71,20 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_table(sales(spark, sf_dir), "price", "sales").drop("fingerprint")
 
 
-_PRINTED = ["sale_key", "property_id", "state", "city", "zip_code", "zip_raw", "price_raw", "year_built"]
-_PRINT = " || ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-') || chr(31)" for c in _PRINTED)
+def _printed(column: str) -> str:
+    if column in ("sold_date", "prev_sold_date"):
+        return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')"
+    if column in ("price", "bed", "bath", "house_size", "acre_lot"):
+        six = f"CAST({column} AS DECIMAL(38, 6))"
+        return f"CASE WHEN CAST({six} AS DOUBLE) = {column} THEN CAST({six} AS VARCHAR) ELSE CAST({column} AS VARCHAR) END"
+    return f"CAST({column} AS VARCHAR)"
+
+
+_COLUMNS = [
+    "sale_key", "property_id", "sold_date", "prev_sold_date", "state", "city", "zip_code", "zip_raw",
+    "price", "price_raw", "bed", "bath", "house_size", "acre_lot", "year_built",
+]
+_PRINT = " || ".join(f"coalesce('=' || {_printed(c)}, '-') || chr(31)" for c in _COLUMNS)
 
 
 @query(
@@ -80,8 +92,8 @@ _PRINT = " || ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-') || chr(31)" fo
     over("sales", f"SELECT count(*) AS num_rows, CAST(sum(CAST(('0x' || substr(md5({_PRINT}), 1, 15)) AS BIGINT)) AS DECIMAL(38, 0)) AS fingerprint FROM sales"),
 )
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the columns that both engines write as the same text."""
-    return profile.fingerprint(sales(spark, sf_dir).select(*_PRINTED))
+    """Over all columns."""
+    return profile.fingerprint(sales(spark, sf_dir))
 
 
 _NA_COLUMNS = ["prev_sold_date", "city", "zip_raw", "bed", "bath", "house_size", "price"]

@@ -195,3 +195,18 @@ def test_na_summary_counts_nan_and_empty_tables(spark):
     got = {r["column"]: (r["rows"], r["na_count"]) for r in profile.na_summary(df).collect()}
     assert got == {"v": (3, 2), "s": (3, 1)}
     assert profile.na_summary(df.limit(0), ["v"]).first()["rows"] == 1
+
+
+def test_slices_take_all_spellings_of_a_zip_for_one(spark):
+    rows = [("501.0", 1.0, 3.0), (" 501", 1.0, 3.0), ("00501", 1.0, 6.0), ("10001", 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "zip_code string, price double, pred_model double")
+    assert [(r["value"], r["n"], r["MAE"]) for r in metrics.slices_single(df, ["zip_code"], min_count=1).collect()] == [("00501", 3, 3.0), ("10001", 1, 0.0)]
+    assert metrics.slices_single(df.withColumn("zip_code", F.lit(501.0)), ["zip_code"], min_count=1).first()["value"] == "00501"
+
+
+def test_fingerprint_sees_every_change_of_a_number(spark):
+    def printed(x):
+        return profile.fingerprint(spark.createDataFrame([(x,)], "v double")).first()["fingerprint"]
+
+    values = [0.0, 1.0, 1e-7, 1.0000001, 1e30, 1e300, 0.1 + 0.2, 0.3, float("nan"), float("inf"), None]
+    assert len({printed(x) for x in values}) == len(values)
