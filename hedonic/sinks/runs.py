@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ class RunStore:
     column. The schema is written beside it, so that an empty output can be read and
     partition values stay the text that was written. The first write of a kind in a run
     replaces all that this run had of it; later ones replace only their own partitions.
+    Rows are written beside the table and moved into place when all are there, so a write
+    that fails leaves the earlier output as it was.
     """
 
     def __init__(self, spark: SparkSession, base: str, run_id: str | None = None):
@@ -50,15 +53,27 @@ class RunStore:
         texts = df.drop("run_id").withColumns({c: F.col(c).cast("string") for c in parts})
         writer = texts.write.mode("overwrite").partitionBy(*parts)
         if parts and kind in self._begun:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+            # Spark itself stages these partitions until the job has ended
+            writer.option("partitionOverwriteMode", "dynamic").parquet(self._run_path(kind, self.run_id))
         else:
-            writer = writer.option("partitionOverwriteMode", "static")
-        writer.parquet(self._run_path(kind, self.run_id))
+            staged = f"{self.base}/_staged/{kind}-{uuid.uuid4().hex}"
+            writer.parquet(staged)
+            self._publish(staged, self._run_path(kind, self.run_id))
         self._begun.add(kind)
         described = json.dumps({"schema": texts.schema.jsonValue(), "parts": parts})
         self.spark.createDataFrame([(described,)], "value string").coalesce(1).write.mode("overwrite").text(self._schema_path(kind, self.run_id))
         return self.read(kind, self.run_id)
 
+    def _publish(self, staged: str, path: str) -> None:
+        """Put a folder that is written completely in the place of another one."""
+        source, target = (self.spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+        fs = target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(source, target):
+            raise OSError(f"{staged} could not be moved to {path}")
+        self.spark.catalog.refreshByPath(path)
+
     def runs(self, kind: str) -> list[str]:
         """The runs that wrote this kind, in order: names of folders, no file is opened."""
         jvm = self.spark._jvm

@@ -137,3 +137,16 @@ def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
     assert "broadcast" in lookup.side._jdf.queryExecution().analyzed().toString().lower()
     monkeypatch.setattr(session, "BROADCAST_MAX_BYTES", 10_000)
     assert lookup.side is lookup.table
+
+
+@pytest.mark.parametrize("parts", [None, ["k"]])
+def test_failed_rewrite_leaves_the_old_rows(spark, tmp_path, parts):
+    rows = spark.range(6).withColumn("k", (F.col("id") % 2).cast("string"))
+    RunStore(spark, str(tmp_path), "one").write("t", rows, parts)
+    broken = rows.withColumn("id", F.when(F.col("id") == 5, F.raise_error("stop").cast("long")).otherwise(F.col("id") + 100))
+    again = RunStore(spark, str(tmp_path), "one")
+    with pytest.raises(Exception, match="stop"):
+        again.write("t", broken, parts)
+    assert sorted(r["id"] for r in again.read("t").collect()) == list(range(6)) and again.runs("t") == ["one"]
+    again.write("t", rows.filter("id < 2"), parts)
+    assert again.read("t").count() == 2
