@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 from string import ascii_lowercase, ascii_uppercase
 
@@ -23,17 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let shuffle files of finished jobs be deleted now.
-
-    Spark deletes them once the driver's garbage collector finds that no frame refers to
-    them, which a driver with little to do may not run for half an hour. A job that writes
-    one large table after another would hold the shuffles of all until then.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def words_of(text: Column) -> Column:
     """The words of a text as an array; NULL gives no words."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != F.lit(""))
