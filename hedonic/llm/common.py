@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from string import ascii_lowercase, ascii_uppercase
 
@@ -43,6 +44,14 @@ def texts_between(texts: pa.Array, lo: int, hi: int) -> list[str]:
     return [t or "" for t in texts.slice(lo, hi - lo).to_pylist()]
 
 
+def give_back() -> None:
+    """Return the memory that a task has freed to the system, as at its end: the worker lives on for other work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def run_starts(counts: np.ndarray) -> np.ndarray:
     """Offsets 0, c0, c0+c1, ... including the total."""
     out = np.zeros(len(counts) + 1, dtype=np.int64)

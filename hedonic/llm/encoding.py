@@ -18,7 +18,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from hedonic.llm.common import run_starts, spread
+from hedonic.llm.common import give_back, run_starts, spread
 
 MAX_CHUNKS = 300_000
 MAX_CHARS = 16 << 20
@@ -77,6 +77,7 @@ class ChunkEncoder:
     def forget(self) -> None:
         """Give the tables' memory back, as at the end of a task: a worker lives on for other work."""
         self._reset()
+        give_back()
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []

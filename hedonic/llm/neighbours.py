@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import table, text_slices, texts_between
+from hedonic.llm.common import give_back, table, text_slices, texts_between
 
 FEATURES = 1 << 13
 # The last feature counts words equal to the one before; features of form weigh more.
@@ -44,7 +44,7 @@ FOLDS = 5
 KEPT_FROM = 0.3
 MAX_WORDS = 200_000
 # Documents whose cosines are computed at a time in a task.
-BLOCK = 512
+BLOCK = 128
 
 
 class _Shapes(dict):
@@ -97,6 +97,7 @@ def document_counts(docs: DataFrame) -> tuple[int, np.ndarray]:
                 seen += np.bincount(features_of(texts_between(texts, lo, hi))[1], minlength=FEATURES)
                 n += hi - lo
         _shapes.clear()
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1, dtype=np.int32)), pa.array(np.r_[seen, n])], names=["k", "n"])
 
     out = np.zeros(FEATURES + 1, dtype=np.int64)
@@ -183,6 +184,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str, most: int)
                 lists = [pa.array(np.split(x, cuts), pa.list_(k)) for x, k in ((features, pa.int64()), (times, pa.float64()))]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in ("id", "y")], *lists], names=["id", "y", "feature", "times"])
         _shapes.clear()
+        give_back()
 
     counted = texts.mapInArrow(count, "id bigint, y int, feature array<bigint>, times array<double>")
     # at most 2 * most rows of at most FEATURES numbers each
@@ -226,6 +228,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             values = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(values)], names=[*keep, "score"])
         _shapes.clear()
+        give_back()
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(judge, schema)
 
@@ -241,6 +244,7 @@ def keep_documents(docs: DataFrame, model: Model, threshold: float = KEPT_FROM)
             if good:
                 yield batch.filter(pa.array(np.concatenate(good)))
         _shapes.clear()
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
 
