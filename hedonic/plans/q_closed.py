@@ -18,7 +18,7 @@ from hedonic.plans.q_evaluation import _metric_sql
 from hedonic.plans.q_sinks import store
 from hedonic.plans.registry import query
 from hedonic.plans.sales import TEST_MIN, TRAIN_MAX, VAL_YEAR, baseline_ctes, over, sales, split_sales
-from hedonic.session import written
+from hedonic.session import durable, written
 from hedonic.sinks.runs import RunStore
 
 FEATURE = ["bath"]
@@ -215,7 +215,7 @@ def whole_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs with number-like names; the first is written again with one family less, and an empty table replaces a full one."""
     base = f"{store(spark).base}"
-    counts = split_sales(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(split_sales(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n")))  # written many times below
     for run_id, families in (("007", ["one", "two"]), ("20251201", ["one", "two"]), ("007", ["one"])):
         runs = RunStore(spark, base, run_id)
         for family in families:

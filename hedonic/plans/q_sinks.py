@@ -12,7 +12,7 @@ from hedonic.plans.q_evaluation import BIN_COLUMNS, BOTH, QUANTILE_BINS, SLICES_
 from hedonic.plans.q_profile import na_sql
 from hedonic.plans.registry import query
 from hedonic.plans.sales import over, split_sales
-from hedonic.session import scratch_path
+from hedonic.session import durable, scratch_path
 from hedonic.sinks.runs import RunStore
 
 
@@ -89,7 +89,7 @@ def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs side by side; writing one again leaves the other alone."""
-    base, counts = scratch_path(spark, "runs"), split_sales(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    base, counts = scratch_path(spark, "runs"), durable(split_sales(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n")))
     for run_id in ("2025-01-01_000000", "2025-01-02_000000", "2025-01-01_000000"):
         last = RunStore(spark, base, run_id)
         last.write("counts", counts)
@@ -98,7 +98,7 @@ def run_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snk_latest_run", over("splits", "SELECT '2025-01-03_000000' AS run_id, split, count(*) AS n FROM splits GROUP BY split"))
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, counts = scratch_path(spark, "runs"), split_sales(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    base, counts = scratch_path(spark, "runs"), durable(split_sales(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n")))
     for run_id in ("2025-01-03_000000", "2025-01-02_000000"):
         runs = RunStore(spark, base, run_id)
         runs.write("counts", counts)
