@@ -23,6 +23,26 @@ def joined(spark):
     return df.withColumn("property_id", F.when(F.col("sale_key") > 3, F.col("sale_key") % 20))
 
 
+def test_sales_join_line_items_to_parts_first(spark, tmp_path):
+    date = F.lit("1996-03-04").cast("timestamp_ntz")
+    rows = [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 1, 2), (3, 1, None), (None, 1, 1), (4, 1, 9), (5, 1, 1)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long").withColumns(
+        {"l_suppkey": F.lit(7).cast("long"), "l_shipdate": date, "l_extendedprice": F.lit(1000.5), "l_quantity": F.lit(20.0), "l_discount": F.lit(0.04)}
+    )
+    orders = spark.createDataFrame([(1, 1), (2, 2), (2, 3), (3, 1), (4, None), (5, 8)], "o_orderkey long, o_custkey long").withColumn("o_orderdate", date)
+    customers = spark.createDataFrame([(1, 0, "A"), (2, 1, "B"), (3, None, "C"), (2, 0, None)], "c_custkey long, c_nationkey int, c_mktsegment string")
+    nations = spark.createDataFrame([(0, "X"), (1, "Y")], "n_nationkey int, n_name string")
+    parts = spark.createDataFrame([(1, 3), (2, 4), (2, 5)], "p_partkey long, p_size int")
+    for name, df in {"lineitem": lines, "orders": orders, "customer": customers, "nation": nations, "part": parts}.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    out = plan_sales.sales(spark, str(tmp_path))
+    plain = spark.sql(plan_sales.SALES_SQL, **{t: plan_sales.table(spark, str(tmp_path), t) for t in plan_sales.TABLES})
+    assert out.schema == plain.schema and out.count() == plain.count() > 0
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+    outermost = next(line for line in plan_of(out).splitlines() if "Join" in line)
+    assert "l_orderkey" in outermost and "o_orderkey" in outermost
+
+
 @pytest.mark.parametrize("module, run", [(q_closed, "run_rewrite"), (q_sinks, "run_layout"), (q_sinks, "latest_run")])
 def test_counts_that_are_written_often_are_counted_once(spark, joined, monkeypatch, module, run):
     plans, write = [], RunStore.write
