@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hedonic.functions.scalars import is_temporal, zip_light
 from hedonic.operators.clean import strict_dates
 from hedonic.operators.ranking import rank_first
-from hedonic.session import Lookup
+from hedonic.session import Lookup, written
 
 SPLIT = "split"
 
@@ -105,8 +105,12 @@ def no_cross_entity(df: DataFrame, entity: str, prefer: str = "train", three_way
     Train wins over val (or val over train, with another ``prefer``), and both win
     over test; in a two-way split ``prefer`` decides between train and test. One
     pre-aggregated pass finds the entities on more than one side, and only these
-    are joined back. Rows without an entity stay.
+    are joined back. Rows without an entity stay. The rows are written once for the two passes.
     """
+    return _one_side_only(written(df, "entities"), entity, prefer, three_way)
+
+
+def _one_side_only(df: DataFrame, entity: str, prefer: str = "train", three_way: bool = True) -> DataFrame:
     key = F.col(entity).cast("string")
     has = [F.max(F.col(SPLIT) == s).alias(f"_{s}") for s in ("train", "val", "test")]
     sides = df.filter(key.isNotNull()).groupBy(key.alias("_entity")).agg(*has)
@@ -151,9 +155,10 @@ def from_settings(df: DataFrame, settings: Mapping[str, Any], date_col: str = "s
     cutoff, val_cutoff = section.get("cutoff"), section.get("val_cutoff")
     if cutoff is None:
         raise KeyError("split.cutoff is required.")
-    out = by_cutoff(df, cutoff, val_cutoff or None, date_col)
+    # the counts and the protections each read the rows: they are made once
+    out = by_cutoff(written(df, "unsplit"), cutoff, val_cutoff or None, date_col)
     if section.get("forbid_property_cross_split") and section.get("property_id_col") in df.columns:
-        out = no_cross_entity(out, section["property_id_col"], three_way=bool(val_cutoff))
+        out = _one_side_only(out, section["property_id_col"], three_way=bool(val_cutoff))
     out = keep_test_zips(out, section.get("restrict_test_zip_prefixes") or [])
     minimum = {s: int(section[f"min_{s}_rows"]) for s in ("train", "val", "test") if section.get(f"min_{s}_rows") is not None}
     if not val_cutoff:

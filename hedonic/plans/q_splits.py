@@ -67,7 +67,9 @@ def from_config(spark: SparkSession, sf_dir: str) -> DataFrame:
             "min_train_rows": 100,
         }
     }
-    kind, out = split.from_settings(sales(spark, sf_dir), settings)
+    # what is written on the way is only what the settings and the result name
+    used = sales(spark, sf_dir).select("sale_key", "property_id", "sold_date", "zip_code")
+    kind, out = split.from_settings(used, settings)
     return out.select(F.lit(kind).alias("kind"), "sale_key", "split")
 
 
@@ -92,7 +94,7 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def no_cross_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.no_cross_entity(three_way(spark, sf_dir), "property_id").select("sale_key", "split")
+    return split.no_cross_entity(three_way(spark, sf_dir).select("sale_key", "property_id", "split"), "property_id").select("sale_key", "split")
 
 
 @query(
@@ -106,7 +108,7 @@ def no_cross_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def no_cross_entity_test_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = split.by_cutoff(sales(spark, sf_dir), CUT, require_all=False)
-    return split.no_cross_entity(df, "property_id", prefer="test", three_way=False).select("sale_key", "split")
+    return split.no_cross_entity(df.select("sale_key", "property_id", "split"), "property_id", prefer="test", three_way=False).select("sale_key", "split")
 
 
 @query("spl_zip_prefix", over("sales", "SELECT sale_key, split FROM two WHERE split = 'train' OR starts_with(zip_code, '00') OR starts_with(zip_code, '07')", _TWO))

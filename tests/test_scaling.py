@@ -23,6 +23,27 @@ def joined(spark):
     return df.withColumn("property_id", F.when(F.col("sale_key") > 3, F.col("sale_key") % 20))
 
 
+def test_protection_makes_its_rows_once(joined):
+    labelled = split.by_cutoff(joined, "1991-01-01", "1992-01-01")
+    out = split.no_cross_entity(labelled, "property_id")
+    assert "Inner" in plan_of(labelled) and "Inner" not in plan_of(out)
+    kept = {r["sale_key"]: r["split"] for r in out.collect()}
+    rows = labelled.collect()
+    sides = {r["property_id"]: {s["split"] for s in rows if s["property_id"] == r["property_id"]} for r in rows}
+    for r in rows:
+        earlier = {"train": set(), "val": {"train"}, "test": {"train", "val"}}[r["split"]]
+        assert (r["sale_key"] in kept) == (r["property_id"] is None or not sides[r["property_id"]] & earlier)
+
+
+def test_split_from_settings_makes_its_rows_once(joined):
+    section = {"cutoff": "1991-01-01", "property_id_col": "property_id", "forbid_property_cross_split": True, "restrict_test_zip_prefixes": ["005"], "min_train_rows": 1}
+    kind, out = split.from_settings(joined, {"split": section})
+    assert kind == "2way" and "Inner" not in plan_of(out)
+    two = split.by_cutoff(joined, "1991-01-01")
+    expected = split.no_cross_entity(two, "property_id", three_way=False).select(out.columns)
+    assert out.exceptAll(expected).isEmpty() and expected.exceptAll(out).isEmpty()
+
+
 def test_sales_join_line_items_to_parts_first(spark, tmp_path):
     date = F.lit("1996-03-04").cast("timestamp_ntz")
     rows = [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 1, 2), (3, 1, None), (None, 1, 1), (4, 1, 9), (5, 1, 1)]
