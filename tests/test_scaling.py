@@ -72,3 +72,23 @@ def test_counts_that_are_written_often_are_counted_once(spark, joined, monkeypat
     out = getattr(module, run)(spark, "")
     assert plans and not any("Inner" in p for p in plans)
     assert {r["n"] for r in out.collect()} == {20, 40}
+
+
+def test_rows_are_binned_once_for_all_boosted_fits(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 20), "ab"[i % 2], 100.0 + i % 20) for i in range(200)], "x double, c string, price double")
+    encoder = encode.fit_encoder(df, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 1}}})
+    binned, bin_rows = [], boosting.bin_rows
+    monkeypatch.setattr(boosting, "bin_rows", lambda *given: binned.append(1) or bin_rows(*given))
+    trials = sweep.sweep(df, df, encoder, {"boosted": [{"n_estimators": 2, "max_depth": d} for d in (1, 2, 3)]})
+    assert len(trials) == 3 and len(binned) == 1
+
+
+def test_spread_fit_keeps_margins_only_for_a_next_tree(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    vectors = spark.createDataFrame([(Vectors.dense([float(i % 7)]), float(i % 7)) for i in range(70)], ["features", "label"])
+    layout, blocks = boosting.binned(vectors, 1, [])
+    kept, keep = [], boosting._Spread._keep
+    monkeypatch.setattr(boosting._Spread, "_keep", lambda self, margin: kept.append(1) or keep(self, margin))
+    boosting.boost(blocks, layout, boosting.BoostParams(rounds=3, depth=1), task_rows=1)
+    assert len(kept) == 3  # the start, and after the first two trees
