@@ -92,3 +92,18 @@ def test_spread_fit_keeps_margins_only_for_a_next_tree(spark, monkeypatch):
     monkeypatch.setattr(boosting._Spread, "_keep", lambda self, margin: kept.append(1) or keep(self, margin))
     boosting.boost(blocks, layout, boosting.BoostParams(rounds=3, depth=1), task_rows=1)
     assert len(kept) == 3  # the start, and after the first two trees
+
+
+def test_rows_of_a_forest_are_spread_out(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 20), "abcd"[i % 4], 100.0 + i % 20) for i in range(400)], "x double, c string, price double").coalesce(1)
+    encoder = encode.fit_encoder(df, ["x"], ["c"], {"preprocess": {"one_hot": {"min_frequency": 1}}})
+    parts = F.spark_partition_id().alias("part")
+    assert encoder.spread(df).select(parts).distinct().count() == 1
+    monkeypatch.setattr(encode, "TOTAL_NUMBERS", 1000)
+    monkeypatch.setattr(encode, "TASK_NUMBERS", 250)
+    spread = encoder.spread(df)
+    assert spread.select(parts).distinct().count() == 8 and sorted(spread.collect()) == sorted(df.collect())
+    spreads, plain = [], encode.FeatureEncoder.spread
+    monkeypatch.setattr(encode.FeatureEncoder, "spread", lambda self, rows: spreads.append(1) or plain(self, rows))
+    model = sweep.refit(df, "rf", {"n_estimators": 2, "max_depth": 2}, ["x"], ["c"], {})
+    assert model.predict(df).count() == 400 and len(spreads) == 1
