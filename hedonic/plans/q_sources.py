@@ -60,7 +60,7 @@ def alias_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     over("sales", "SELECT CAST(year(sold_date) AS INT) AS year, count(*) AS n, max(sold_date) AS last_sold FROM sales GROUP BY 1"),
 )
 def detect_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = sales(spark, sf_dir).withColumn("settled", F.date_format("sold_date", "MM/dd/yyyy HH:mm:ss")).drop("sold_date")
+    df = sales(spark, sf_dir, wide_last=True).withColumn("settled", F.date_format("sold_date", "MM/dd/yyyy HH:mm:ss")).drop("sold_date")
     found = schema.detect_date(df)
     return found.groupBy(F.year("sold_date").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.max("sold_date").alias("last_sold"))
 

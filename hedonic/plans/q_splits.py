@@ -19,7 +19,7 @@ _THREE = (
 
 
 def three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.by_cutoff(sales(spark, sf_dir), CUT, VAL_CUT, require_all=False)
+    return split.by_cutoff(sales(spark, sf_dir, wide_last=True), CUT, VAL_CUT, require_all=False)
 
 
 @query("spl_two_way", over("sales", "SELECT sale_key, split FROM two", _TWO))
@@ -68,7 +68,7 @@ def from_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     }
     # what is written on the way is only what the settings and the result name
-    used = sales(spark, sf_dir).select("sale_key", "property_id", "sold_date", "zip_code")
+    used = sales(spark, sf_dir, wide_last=True).select("sale_key", "property_id", "sold_date", "zip_code")
     kind, out = split.from_settings(used, settings)
     return out.select(F.lit(kind).alias("kind"), "sale_key", "split")
 
@@ -107,7 +107,7 @@ def no_cross_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def no_cross_entity_test_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = split.by_cutoff(sales(spark, sf_dir), CUT, require_all=False)
+    df = split.by_cutoff(sales(spark, sf_dir, wide_last=True), CUT, require_all=False)
     return split.no_cross_entity(df.select("sale_key", "property_id", "split"), "property_id", prefer="test", three_way=False).select("sale_key", "split")
 
 

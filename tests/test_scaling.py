@@ -56,7 +56,7 @@ def test_sales_join_line_items_to_parts_first(spark, tmp_path):
     parts = spark.createDataFrame([(1, 3), (2, 4), (2, 5)], "p_partkey long, p_size int")
     for name, df in {"lineitem": lines, "orders": orders, "customer": customers, "nation": nations, "part": parts}.items():
         df.write.parquet(f"{tmp_path}/{name}.parquet")
-    out = plan_sales.sales(spark, str(tmp_path))
+    out = plan_sales.sales(spark, str(tmp_path), wide_last=True)
     plain = spark.sql(plan_sales.SALES_SQL, **{t: plan_sales.table(spark, str(tmp_path), t) for t in plan_sales.TABLES})
     assert out.schema == plain.schema and out.count() == plain.count() > 0
     assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
