@@ -37,6 +37,8 @@ from hedonic.session import scratch_path
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 18
+# Bytes of text encoded in one call: more of them share their words, whose table is looked through once a call.
+ENCODED_BYTES = 1 << 22
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
@@ -152,7 +154,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
         open_tokens = 0
         for batch in batches:
             texts = batch.column("text")
-            for lo, hi in text_slices(texts, 1 << 20):
+            for lo, hi in text_slices(texts, ENCODED_BYTES):
                 got, sizes = with_end(*encoder(texts_between(texts, lo, hi)), end_id)
                 names += batch.column("doc_id").slice(lo, hi - lo).to_pylist()
                 counts.append(sizes)

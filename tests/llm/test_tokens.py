@@ -37,6 +37,23 @@ def test_chunked_encoding_equals_the_library(name, spaced):
             assert own.tolist() == ids_of(tokenizer, text), text
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_marks_and_line_ends_are_cut_off(name, spaced):
+    texts = ["Dark grün.\nBlue### sea,&&&\nIt!! end", "grün***", "", "\nBlue###\n\nend.\n sea$%", "it's\nx<|endoftext|>.\nBlue 12.\nsea \u2167.\nIt e\u0301.\nIt"]
+    rnd = random.Random(7)
+    texts += ["".join(rnd.choice([" ", "\n", ".\n", "###", "*", "blue", "É", "sea", "<|endoftext|>", "'s", "7", "\u00b2", "\u0301", "&", "\t"]) for _ in range(rnd.randint(0, 25))) for _ in range(400)]
+    encoder, tokenizer = encoding.library_encoder(name, spaced), library(name)
+    encoder.forget()
+    ids, counts = encoder(texts)
+    for text, own in zip(texts, encoding.documents_of(ids, counts)):
+        assert own.tolist() == ids_of(tokenizer, text), text
+    encoder.forget()
+    encoder(texts[:2])
+    # a text's first chunk is taken whole where white space counts
+    mixed = [piece for piece in encoder.numbers if piece not in texts and not piece.strip(" ").isalpha() and any(map(str.isalpha, piece))]
+    assert not mixed and {".", "###", ",&&&", "!!"} < set(encoder.numbers)
+
+
 def test_chunk_table_is_bounded(monkeypatch):
     monkeypatch.setattr(encoding, "MAX_CHUNKS", 10)
     encoder = encoding.ChunkEncoder(encoding.spaced_chunks, encoding.library_encoder("byte_bpe_50k.json", True).encode)
