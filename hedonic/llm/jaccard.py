@@ -1,7 +1,13 @@
-"""Near-duplicates by the Jaccard similarity of their word shingles, exactly.
+"""Near-duplicates by SimHash and the Jaccard similarity of their word shingles, exactly.
 
 Documents are linked if their sets of shingles have a similarity of at least
-``PARTS`` / ``WHOLE``. Two such sets of n shingles and more share one of the first
+``PARTS`` / ``WHOLE``. The closest copies come from operator 4: every set has a SimHash
+fingerprint, ``simhash.links`` finds those within two bits, and the sets that these stand for
+are linked if their shingles are similar enough. Fingerprints that far apart miss most pairs
+of the wanted similarity (at 0.8 they differ in some nine of 64 bits), so the pairs that are
+not in one component by then come from a prefix filter.
+
+Two similar sets of n shingles and more share one of the first
 n - ceil(n * PARTS / WHOLE) + 1 shingles of either one under any common order (prefix
 filter), so only documents that share one of those are compared, and no pair is missed.
 The order decides the cost alone: shingles that are common in a sample come last.
@@ -40,6 +46,7 @@ from pyspark.sql import functions as F
 
 from hedonic.llm.common import give_back, words_of
 from hedonic.llm.graph import components
+from hedonic.llm import simhash
 from hedonic.llm.simhash import JOINED_AT_MOST, LOWER, UPPER, first_of_each, shingle_hashes
 from hedonic.session import written
 
@@ -98,7 +105,7 @@ def folded(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, order: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, _hash, sid (hash of the set), size, prefix and sketch of every document."""
+    """doc_id, _hash, sid (hash of the set), size, fp (SimHash fingerprint of the set), prefix and sketch of every document."""
     shared = sets.sparkSession.sparkContext.broadcast(order)
     names = ["doc_id", "_hash", "sid"]
 
@@ -117,11 +124,11 @@ def prefixes(sets: DataFrame, order: tuple[np.ndarray, np.ndarray]) -> DataFrame
                 rare = np.argsort(rank[lo:hi], kind="stable")[: n + (-n * PARTS // WHOLE) + 1] if n else []
                 firsts.append(values[lo:hi][rare] if n else values[:0])
                 sketches.append(sketch_of(values[lo:hi]))
-            columns = [pa.array(np.diff(ends)), pa.array(firsts, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *columns], names=[*names, "size", "prefix", "sketch"])
+            columns = [pa.array(np.diff(ends)), pa.array(simhash.majority(lists)), pa.array(firsts, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *columns], names=[*names, "size", "fp", "prefix", "sketch"])
         give_back()
 
-    return sets.select(*names, "set").mapInArrow(cut, "doc_id bigint, _hash bigint, sid bigint, size bigint, prefix array<bigint>, sketch binary")
+    return sets.select(*names, "set").mapInArrow(cut, "doc_id bigint, _hash bigint, sid bigint, size bigint, fp bigint, prefix array<bigint>, sketch binary")
 
 
 def bit_table(keys: DataFrame, bits: int) -> bytes:
@@ -278,43 +285,64 @@ def can_reach(a: str, b: str) -> Column:
     return (F.col(a) * WHOLE >= F.col(b) * PARTS) & (F.col(b) * WHOLE >= F.col(a) * PARTS)
 
 
-def links_to_representatives(posts: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> tuple[list[DataFrame], DataFrame]:
-    """Edge tables, and the rows of ``posts`` whose shingle still has members of several components, with ``root``.
+def fingerprint_links(prints: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (u, v) between similar sets whose fingerprints ``simhash.links`` finds. ``prints`` has (sid, fp) of distinct sets.
+
+    A fingerprint's smallest set stands for it: the others are compared with that one, and
+    it with those of linked fingerprints, so the pairs are linear in the sets and links.
+    """
+    least = written(prints.groupBy("fp").agg(F.min("sid").alias("least")), "fingerprints")
+    a, b = least.select(F.col("fp").alias("u"), F.col("least").alias("x")), least.select(F.col("fp").alias("v"), F.col("least").alias("y"))
+    between = simhash.links(least.select("fp")).join(a, "u").join(b, "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
+    same = prints.join(least, "fp").filter("sid <> least").select(F.col("sid").alias("u"), F.col("least").alias("v"))
+    return similar_pairs(between.unionByName(same).distinct(), sketches, sets_of)
+
+
+def still_open(posts: DataFrame, edges: list[DataFrame]) -> DataFrame:
+    """The rows of ``posts`` whose shingle has members of several components of the edge tables, with ``root``."""
+    known = edges[0]
+    for more in edges[1:]:
+        known = known.unionByName(more)
+    stars = components(known).select(F.col("u").alias("sid"), F.col("v").alias("root"))
+    rooted = posts.join(stars, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    return written(rooted.join(mixed, "key", "left_semi"), "open-postings")
+
+
+def links_to_representatives(
+    posts: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], found: DataFrame, rounds: int = ROUNDS
+) -> tuple[list[DataFrame], DataFrame]:
+    """Edge tables with that of the edges ``found`` before, and the rows of ``posts`` whose shingle still has members of several components, with ``root``.
 
     In each round the members of a shingle are compared with one of them, the same one for
     most shingles of a group of near copies, so such a group takes a few pairs per member.
     Members that come into one component need no comparison any more.
     """
-    edges, rooted = [], posts.withColumn("root", F.col("sid"))
+    edges = [found]
+    rooted = still_open(posts, edges)
     for turn in range(rounds):
         several = rooted.filter(F.col("n") > REPRESENTED)
         first = F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), F.col("sid").alias("v"), F.col("size").alias("other"), F.col("root").alias("own"))).alias("first")
         of_key = several.groupBy("key").agg(first).select("key", "first.v", "first.other", "first.own")
         pairs = several.join(of_key, "key").filter((F.col("root") != F.col("own")) & can_reach("size", "other")).select(F.col("sid").alias("u"), "v").distinct()
         edges.append(written(similar_pairs(pairs, sketches, sets_of), "representative-edges"))
-        known = edges[0]
-        for more in edges[1:]:
-            known = known.unionByName(more)
-        stars = components(known).select(F.col("u").alias("sid"), F.col("v").alias("root"))
-        rooted = posts.join(stars, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        rooted = written(rooted.join(mixed, "key", "left_semi"), "open-postings")
+        rooted = still_open(posts, edges)
     return edges, rooted
 
 
-def links(posts: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], joined_at_most: int = JOINED_AT_MOST) -> DataFrame:
-    """Edges (u, v) between set ids that connect all similar sets.
+def links(posts: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], found: DataFrame, joined_at_most: int = JOINED_AT_MOST) -> DataFrame:
+    """Edges (u, v) between set ids that connect all similar sets, with those ``found`` before.
 
     ``posts`` has (key, sid, size, n, mass), ``sketches`` (sid, size, sketch); ``sets_of`` gives
     (sid, set) for a table of set ids.
     """
-    edges, rooted = links_to_representatives(posts, sketches, sets_of)
+    edges, rooted = links_to_representatives(posts, sketches, sets_of, found)
     member = rooted.filter(F.col("n") <= joined_at_most)
     a, b = member.alias("a"), member.alias("b")
     apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.sid") < F.col("b.sid")) & (F.col("a.root") != F.col("b.root"))
     near = similar_pairs(a.join(b, apart & can_reach("a.size", "b.size")).select(F.col("a.sid").alias("u"), F.col("b.sid").alias("v")).distinct(), sketches, sets_of)
-    for found in edges:
-        near = near.unionByName(found)
+    for more in edges:
+        near = near.unionByName(more)
 
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("mass") / BLOCK_SHINGLES))
     many = rooted.filter(F.col("n") > joined_at_most).withColumn("blocks", blocks)
@@ -344,8 +372,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", te
     own = {"doc_id": F.col(doc_id).cast("long"), "_hash": _text_hash(text)}
     sets = shingle_sets(docs, shingle, own, text).withColumn("sid", F.xxhash64("set"))
     prints = written(prefixes(sets, common_shingles(docs, shingle, text)), "prefixes")
-    distinct = written(prints.select("sid", "size", "prefix", "sketch").dropDuplicates(["sid"]), "distinct-sets")
-    posts = postings(distinct, bits)
+    distinct = written(prints.select("sid", "size", "fp", "prefix", "sketch").dropDuplicates(["sid"]), "distinct-sets")
+    sketches = distinct.select("sid", "size", "sketch")
 
     def sets_of(sids: DataFrame) -> DataFrame:
         wanted = written(prints.join(sids.distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("_hash").alias("_wanted")), "wanted")
@@ -356,6 +384,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", te
         # one text of each set, so no set is there twice
         return written(shingle_sets(few, shingle, {}, "text").select(F.xxhash64("set").alias("sid"), "set"), "shingle-sets")
 
-    stars = components(links(posts, distinct.select("sid", "size", "sketch"), sets_of, joined_at_most)).select(F.col("u").alias("sid"), F.col("v").alias("_root"))
+    found = written(fingerprint_links(distinct.select("sid", "fp"), sketches, sets_of), "fingerprint-edges")
+    stars = components(links(postings(distinct, bits), sketches, sets_of, found, joined_at_most)).select(F.col("u").alias("sid"), F.col("v").alias("_root"))
     rooted = prints.select("doc_id", "_hash", "sid").join(stars, "sid", "left").select("doc_id", "_hash", F.coalesce("_root", "sid").alias("root"))
     return first_of_each(docs, rooted, doc_id, text)

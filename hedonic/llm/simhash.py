@@ -55,7 +55,7 @@ def shingle_hashes(text: Column, words: str, shingle: int) -> Column:
     return F.when(n >= shingle, several).when(n > 0, one).otherwise(F.array().cast("array<bigint>"))
 
 
-def _majority(hashes: pa.ListArray) -> np.ndarray:
+def majority(hashes: pa.ListArray) -> np.ndarray:
     """One fingerprint per list of hashes."""
     ends = hashes.offsets.to_numpy().astype(np.int64)
     values = hashes.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id"
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = _majority(batch.column("_hashes"))
+            fps = majority(batch.column("_hashes"))
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(fps)], names=[*names, "fp"])
 
     return hashed.mapInArrow(fold, schema)

@@ -62,6 +62,36 @@ def test_stage_equals_brute_force(spark, tmp_path, joined, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == kept_by_force(texts)
 
 
+def test_fingerprints_link_the_closest_copies_first(spark, tmp_path, monkeypatch):
+    """The stage's first edges are the similar ones of SimHash, and what it hands on is what they leave."""
+    rnd = random.Random(5)
+    texts = [sentence(rnd, 400) for _ in range(12)]
+    texts += [f"{t} and one" for t in texts] + [f"{t} {sentence(rnd, 40)}" for t in texts] + ["", "one", "two words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    seen, plain = [], jaccard.fingerprint_links
+
+    def kept(prints, *rest):
+        found = plain(prints, *rest)
+        seen.append(([tuple(r) for r in prints.collect()], [(r["u"], r["v"]) for r in found.collect()]))
+        return found
+
+    monkeypatch.setattr(jaccard, "fingerprint_links", kept)
+    out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in out.collect()) == kept_by_force(texts)
+    (prints, found), = seen
+    sets = jaccard.shingle_sets(docs, 5, {}, "text").select(F.xxhash64("set").alias("sid"), "set").collect()
+    sets, least = {r["sid"]: set(r["set"]) for r in sets}, {}
+    bit = lambda values, k: 2 * sum(v >> k & 1 for v in values) > len(values)
+    for sid, fp in prints:
+        assert all((fp >> k & 1) == bit(sets[sid], k) for k in range(64))
+        least[fp] = min(sid, least.get(fp, sid))
+    alike = lambda x, y: 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y])
+    close = {frozenset((least[f], least[g])) for f in least for g in least if f != g and ((f ^ g) & (2**64 - 1)).bit_count() <= 2}
+    close |= {frozenset((sid, least[fp])) for sid, fp in prints if sid != least[fp]}
+    want = {pair for pair in close if alike(*pair)}
+    assert {frozenset(pair) for pair in found} == want and len(found) == len(want) > 8
+
+
 def test_odd_rows_and_columns(spark):
     docs = documents(spark, clashing=True)
     kept = jaccard.keep_one(docs)
