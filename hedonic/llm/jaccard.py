@@ -318,8 +318,7 @@ def links_to_representatives(
     most shingles of a group of near copies, so such a group takes a few pairs per member.
     Members that come into one component need no comparison any more.
     """
-    edges = [found]
-    rooted = still_open(posts, edges)
+    edges, rooted = [found], posts.withColumn("root", F.col("sid"))
     for turn in range(rounds):
         several = rooted.filter(F.col("n") > REPRESENTED)
         first = F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), F.col("sid").alias("v"), F.col("size").alias("other"), F.col("root").alias("own"))).alias("first")
