@@ -61,8 +61,8 @@ REPRESENTED, ROUNDS = 4, 2
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 17
 # Most bits of a table of shingles or sets: 32 MiB. Every task's machine keeps a copy on disk, so small inputs take less.
 BITS = 1 << 28
-# Shingles multiplied at a time in a task.
-STEP = 4096
+# Shingles, and rows of a block, compared at a time in a task: its arrays stay small beside the block.
+STEP, SLAB = 1024, 128
 # Bits of the smallest sketch.
 LEAST_BITS = 64
 
@@ -177,9 +177,9 @@ def maybe_in(keys: DataFrame, bits: int) -> Callable[[str], Column]:
     return test
 
 
-def alike(sizes: np.ndarray, overlaps: np.ndarray) -> np.ndarray:
-    """Which sets are similar enough, from their sizes and pairwise overlaps."""
-    return overlaps * (PARTS + WHOLE) >= PARTS * (sizes[:, None] + sizes[None, :])
+def alike(sizes: np.ndarray, others: np.ndarray, overlaps: np.ndarray) -> np.ndarray:
+    """Which sets are similar enough to which others, from their sizes and pairwise overlaps."""
+    return overlaps * (PARTS + WHOLE) >= PARTS * (sizes[:, None] + others[None, :])
 
 
 def forest(lists: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -199,7 +199,9 @@ def forest(lists: list[np.ndarray]) -> list[tuple[int, int]]:
         has = np.zeros((n, hi - lo), dtype=np.float32)
         has[rows[a:b], columns[a:b] - lo] = 1
         overlaps += has @ has.T
-    linked, todo, edges = alike(sizes, overlaps.astype(np.int64)), np.ones(n, dtype=bool), []
+    linked, todo, edges = np.zeros((n, n), dtype=bool), np.ones(n, dtype=bool), []
+    for lo in range(0, n, SLAB):
+        linked[lo : lo + SLAB] = alike(sizes[lo : lo + SLAB], sizes, overlaps[lo : lo + SLAB].astype(np.int64))
     for first in range(n):
         if not todo[first]:
             continue
@@ -269,14 +271,17 @@ def with_partner(sizes: np.ndarray, roots: np.ndarray, sketches: pa.Array) -> np
         ones, mine = bits.astype(np.float32), bits.sum(axis=1, dtype=np.int64)
         for others, theirs in classes[k:]:
             small = folded(theirs, bits.shape[1])
-            both = (ones @ small.astype(np.float32).T).astype(np.int64)
-            odd = mine[:, None] + small.sum(axis=1, dtype=np.int64)[None, :] - 2 * both
-            total = sizes[rows][:, None] + sizes[others][None, :]
-            # sets that differ in size differ in as many shingles at least
-            apart = np.maximum(odd, np.abs(sizes[rows][:, None] - sizes[others][None, :]))
-            near = may_be_alike(total, apart) & (roots[rows][:, None] != roots[others][None, :])
-            out[rows] |= near.any(axis=1)
-            out[others] |= near.any(axis=0)
+            their_ones, counts = small.astype(np.float32).T, small.sum(axis=1, dtype=np.int64)
+            for lo in range(0, len(rows), SLAB):
+                own = rows[lo : lo + SLAB]
+                both = (ones[lo : lo + SLAB] @ their_ones).astype(np.int64)
+                odd = mine[lo : lo + SLAB, None] + counts[None, :] - 2 * both
+                total = sizes[own][:, None] + sizes[others][None, :]
+                # sets that differ in size differ in as many shingles at least
+                apart = np.maximum(odd, np.abs(sizes[own][:, None] - sizes[others][None, :]))
+                near = may_be_alike(total, apart) & (roots[own][:, None] != roots[others][None, :])
+                out[own] |= near.any(axis=1)
+                out[others] |= near.any(axis=0)
     return out
 
 
@@ -352,6 +357,7 @@ def links(posts: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame],
     def partnered(group: pa.Table) -> pa.Table:
         sizes, roots = group.column("size").to_numpy(), group.column("root").to_numpy()
         keep = with_partner(sizes, roots, group.column("sketch").combine_chunks())
+        give_back()
         return group.select(["key", "lo", "hi", "sid"]).filter(pa.array(keep))
 
     close = written(dealt.groupBy("key", "lo", "hi").applyInArrow(partnered, "key bigint, lo bigint, hi bigint, sid bigint"), "close-members")
@@ -361,6 +367,7 @@ def links(posts: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame],
         whole = group.column("set").combine_chunks()
         ends, values = whole.offsets.to_numpy(), whole.values.to_numpy(zero_copy_only=False)
         edges = forest([values[a:b] for a, b in zip(ends[:-1], ends[1:])])
+        give_back()
         return pa.table({"u": pa.array([ids[a] for a, _ in edges], pa.int64()), "v": pa.array([ids[b] for _, b in edges], pa.int64())})
 
     return near.unionByName(close.join(sets_of(close.select("sid")), "sid").groupBy("key", "lo", "hi").applyInArrow(compare, "u bigint, v bigint"))

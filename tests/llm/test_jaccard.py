@@ -1,6 +1,7 @@
 """The near-duplicate stage against brute-force Jaccard on planted near copies."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -132,3 +133,21 @@ def test_sketches_rule_out_no_similar_pair():
     blocks = jaccard.with_partner(np.array([len(x) for x in members]), np.arange(len(members)), pa.array(a + b, pa.binary()))
     near = [any(i != j and 5 * len(x & y) >= 4 * len(x | y) for j, y in enumerate(members)) for i, x in enumerate(members)]
     assert all(kept for kept, has in zip(blocks, near) if has)
+
+
+def test_a_block_is_compared_in_little_memory():
+    """Two blocks of a common shingle: what is compared at a time is small beside all pairs of their members."""
+    rnd, n = np.random.default_rng(4), 2 * jaccard.BLOCK_SETS
+    lists = [np.sort(rnd.integers(-(1 << 62), 1 << 62, 100)) for _ in range(n // 2)]
+    lists += [np.sort(np.r_[x[:95], rnd.integers(-(1 << 62), 1 << 62, 5)]) if k % 2 else np.sort(rnd.integers(-(1 << 62), 1 << 62, 90)) for k, x in enumerate(lists)]
+    sketches, sizes = pa.array([jaccard.sketch_of(x) for x in lists], pa.binary()), np.array([len(x) for x in lists])
+    peaks, found = [], []
+    for work in (lambda: jaccard.with_partner(sizes, np.arange(n), sketches), lambda: jaccard.forest(lists)):
+        tracemalloc.start()
+        found.append(work())
+        peaks.append(tracemalloc.get_traced_memory()[1] >> 20)
+        tracemalloc.stop()
+    alike = {k for k in range(n // 2) if k % 2}
+    assert alike | {k + n // 2 for k in alike} <= set(np.flatnonzero(found[0]).tolist())
+    assert sorted(found[1]) == [(k + n // 2, k) for k in sorted(alike)]
+    assert max(peaks) < 72, peaks
