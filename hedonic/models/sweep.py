@@ -20,7 +20,7 @@ from hedonic.operators import calibration, metrics
 from hedonic.operators.features import STANDARD_EXPRESSIONS, add_expressions, time_features, usable_columns
 from hedonic.operators.groupstats import fit_baseline, neighbors_from_settings, predict_baseline
 from hedonic.operators.profile import date_window, na_summary
-from hedonic.operators.split import by_cutoff, by_hash, by_year, downsample_train, part
+from hedonic.operators.split import by_cutoff, by_hash, by_year, downsample_train, part, require_splits
 from hedonic.session import scratch, written
 from hedonic.sinks.runs import PREDICTION_COLUMNS, RunStore
 
@@ -303,8 +303,8 @@ def run_sweep(
     if candidates is None:
         candidates = sweep_candidates(settings)
 
-    df = by_year(model_frame(sales, settings), section["train_max_year"], section["val_year"], section["test_min_year"], require_all=True)
-    df = written(df, "features")  # read by every fit below
+    df = by_year(model_frame(sales, settings), section["train_max_year"], section["val_year"], section["test_min_year"])
+    df = require_splits(written(df, "features"), {"train": 1, "val": 1, "test": 1})  # read by every fit below
     train, val, test = part(df, "train"), part(df, "val"), part(df, "test")
     train_val = part(df, "train", "val")
 
@@ -425,8 +425,8 @@ def run_by_rmse(
     if candidates is None:
         asked = settings.get("tune", {}).get("grid")
         candidates = expand_grid(asked) if isinstance(asked, Mapping) else (asked or CANDIDATES)
-    df = by_year(model_frame(sales, settings), section["train_max_year"], section["val_year"], section["test_min_year"], require_all=True)
-    df = written(df, "features")
+    df = by_year(model_frame(sales, settings), section["train_max_year"], section["val_year"], section["test_min_year"])
+    df = require_splits(written(df, "features"), {"train": 1, "val": 1, "test": 1})
     train, val, test, train_val = part(df, "train"), part(df, "val"), part(df, "test"), part(df, "train", "val")
     train_n, val_n, added = neighbors_from_settings(train, val, settings, target, neighbor_mode, symmetric=True)
     trv_n, test_n, added_test = neighbors_from_settings(train_val, test, settings, target, neighbor_mode, symmetric=True)

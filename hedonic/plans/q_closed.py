@@ -134,6 +134,13 @@ RUN = {
     "run": {"fast_sweep": True},
     "eval": {"slices": {"group_cols": ["state"], "min_count": 10, "topk": 5}},
 }
+
+
+def _run_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view for whole runs, without the raw texts that none of them reads."""
+    return sales(spark, sf_dir).drop("price_raw", "zip_raw")
+
+
 _RUN_BASELINES = [*baseline_ctes("bv", TRAIN, "split = 'val'"), *baseline_ctes("bt", TRAIN_VAL, "split = 'test'")]
 
 
@@ -151,7 +158,7 @@ _RUN_BASELINES = [*baseline_ctes("bv", TRAIN, "split = 'val'"), *baseline_ctes("
 )
 def whole_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole sweep, with the grid of the settings: baseline and ridge on val and test."""
-    return _rounded(sweep.run_sweep(sales(spark, sf_dir), RUN, store(spark), "sale_key")["summary"].drop("run_id"))
+    return _rounded(sweep.run_sweep(_run_sales(spark, sf_dir), RUN, store(spark), "sale_key")["summary"].drop("run_id"))
 
 
 _LONG = " UNION ALL ".join("""SELECT family, split, '{m}' AS metric, "{m}" AS value FROM w""".format(m=m) for m in ("MAE", "RMSE", "R2"))
@@ -183,7 +190,7 @@ _BY_RMSE = f"""best AS (SELECT CASE WHEN (SELECT "RMSE" FROM t WHERE trial_no =
 )
 def whole_by_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind and grid come from the settings; chosen by RMSE on val, fitted again for test."""
-    return _long(sweep.run_by_rmse(sales(spark, sf_dir), RUN, store(spark), "sale_key")["metrics"])
+    return _long(sweep.run_by_rmse(_run_sales(spark, sf_dir), RUN, store(spark), "sale_key")["metrics"])
 
 
 _TWO = f"two AS (SELECT * EXCLUDE (split), CASE WHEN sold_date < TIMESTAMP '{CUTOFF}' THEN 'train' ELSE 'test' END AS split FROM splits)"
@@ -202,7 +209,7 @@ _TWO = f"two AS (SELECT * EXCLUDE (split), CASE WHEN sold_date < TIMESTAMP '{CUT
     ),
 )
 def whole_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _long(sweep.run_single(sales(spark, sf_dir), RUN, store(spark), "sale_key")["metrics"])
+    return _long(sweep.run_single(_run_sales(spark, sf_dir), RUN, store(spark), "sale_key")["metrics"])
 
 
 # --- run outputs written again ------------------------------------------------------

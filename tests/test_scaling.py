@@ -107,3 +107,21 @@ def test_rows_of_a_forest_are_spread_out(spark, monkeypatch):
     monkeypatch.setattr(encode.FeatureEncoder, "spread", lambda self, rows: spreads.append(1) or plain(self, rows))
     model = sweep.refit(df, "rf", {"n_estimators": 2, "max_depth": 2}, ["x"], ["c"], {})
     assert model.predict(df).count() == 400 and len(spreads) == 1
+
+
+@pytest.mark.parametrize("run", [sweep.run_sweep, sweep.run_by_rmse])
+def test_runs_count_their_splits_in_the_written_rows(joined, monkeypatch, run):
+    class Counted(Exception):
+        pass
+
+    plans = []
+
+    def counts(df):
+        plans.append(plan_of(df))
+        raise Counted
+
+    monkeypatch.setattr(split, "split_counts", counts)
+    settings = {"split": {"train_max_year": 1990, "val_year": 1991, "test_min_year": 1992}, "features": {"engineered": []}}
+    with pytest.raises(Counted):
+        run(joined, settings, None, "sale_key", candidates=[])
+    assert len(plans) == 1 and "Inner" not in plans[0]
