@@ -33,10 +33,11 @@ RIDGE, FOREST, BOOSTED = {"alpha": 1.0}, {"n_estimators": 10, "max_depth": 6, "m
 _TRAIN = "tr AS (SELECT * FROM splits WHERE split = 'train')"
 
 
-def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All features with the split, written once: every fit reads it."""
+def frame(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
+    """All features with the split, written once: every fit reads it. Queries that return no rows of it need no key and date."""
     df = add_expressions(years_since_previous(split_sales(spark, sf_dir)), STANDARD_EXPRESSIONS)
-    return written(df.select("sale_key", "split", "sold_date", "price", *NUMERIC, *CATEGORICAL), "features")
+    kept = ["sale_key", "sold_date"] if keyed else []
+    return written(df.select(*kept, "split", "price", *NUMERIC, *CATEGORICAL), "features")
 
 
 def encoded(df: DataFrame) -> tuple[encode.FeatureEncoder, DataFrame]:
@@ -288,7 +289,7 @@ def best(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fit_refit_final_wide")
 def refit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The better of two ridge trials on val, fitted again on train and val, scored on test."""
-    df = frame(spark, sf_dir)
+    df = frame(spark, sf_dir, keyed=False)
     encoder = encode.fit_encoder(part(df, "train"), NUMERIC, CATEGORICAL, SETTINGS)
     trials = sweep.sweep(part(df, "train"), part(df, "val"), encoder, {"ridge": [{"alpha": 1.0}, {"alpha": 2.0}]})
     winner = trials[sweep.best_overall(sweep.trial_table(spark, trials)).first()["trial_no"]]
@@ -337,7 +338,7 @@ def given_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snk_model", over("splits", "SELECT split, count(*) AS n, CAST(0 AS DOUBLE) AS largest_difference FROM splits GROUP BY split"))
 def sink_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model saved and loaded again predicts the same: largest difference per split."""
-    df = frame(spark, sf_dir)
+    df = frame(spark, sf_dir, keyed=False)
     model = fitted(df, "ridge", RIDGE)
     path = store(spark).model_path("ridge")
     model.save(path)
