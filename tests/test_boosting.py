@@ -142,3 +142,46 @@ def test_one_fit_for_several_numbers_of_trees(spark, monkeypatch):
         assert first == pytest.approx(second)
     assert together[1].model.regressor.getNumTrees == 9 and together[2].model.regressor.getNumTrees == 3
     assert estimators.fit_encoded("boosted", grid[1], encoder.transform(train), encoder).importances(spark).count() == 2
+
+
+@pytest.mark.parametrize("task_rows", [1, 1 << 20])
+def test_labels_are_compared_in_the_fit_itself(spark, rows, vectors, task_rows):
+    x, y = rows
+    layout, params = exact_layout(x), BoostParams(rounds=5, depth=3, subsample=0.7)
+    base, trees = boosting.boost(boosting.bin_rows(vectors, layout), layout, params, task_rows, [2, 5])
+    for n in (2, 5):
+        model = boosting.as_model(spark, base, trees[:n], layout, params)
+        assert trees.ratios[n] == pytest.approx(np.exp(y - predicted(model, vectors)).mean())
+    assert set(trees.ratios) == {2, 5}
+
+
+def test_sums_of_combined_columns_are_those_of_each_column():
+    rng = np.random.default_rng(2)
+    n = 3 * boosting.STEP_ROWS
+    layout = Layout([np.arange(6.0), np.arange(9.0), np.arange(255.0)], [4, 700])
+    codes = [rng.integers(0, size, n).astype(np.uint16) for size in layout.sizes]
+    label = rng.normal(10, 3, n)
+    work = boosting._Local([boosting.Block(codes, label, np.zeros(0), 0)], layout)
+    params = BoostParams(subsample=0.9)
+    work.begin(9.5, params, 0)
+    tree = boosting.Tree()
+    for _ in range(3):
+        tree.add(0.0, 0.0)
+    tree.column[0], tree.code[0], tree.left[0], tree.right[0] = 1, 0, 1, 2
+    drawn = boosting._draw(work.blocks[0], params, 0)
+    for fresh, wanted in (([], [0]), ([0], [1, 2])):  # one node is large, the other is not
+        g, h = work.sums(tree, fresh, wanted)
+        for k, node in enumerate(wanted):
+            inside = drawn & (np.ones(n, bool) if node == 0 else (codes[1] <= 0) == (node == 1))
+            for c, (lo, hi) in enumerate(zip(layout.offsets, layout.offsets[1:])):
+                assert np.array_equal(h[k, lo:hi], np.bincount(codes[c][inside], minlength=hi - lo))
+                assert np.allclose(g[k, lo:hi], np.bincount(codes[c][inside], (9.5 - label)[inside], hi - lo), atol=0.02)
+    assert len(layout.bundles) < len(layout.sizes)
+
+
+def test_rows_without_a_label_still_count():
+    layout = Layout([np.array([0.0])], [])
+    work = boosting._Local([boosting.Block([np.array([0, 0, 1], np.uint8)], np.array([1.0, np.nan, 2.0]), np.zeros(0), 0)], layout)
+    work.begin(0.0, BoostParams(), 0)
+    g, h = work.sums(boosting.Tree(value=[0.0], column=[-1]), [], [0])
+    assert h.tolist() == [[2, 1]] and np.isnan(g[0, 0]) and g[0, 1] == -2
