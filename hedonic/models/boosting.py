@@ -644,27 +644,33 @@ def _node_table(base: float, trees: Sequence[Tree], layout: Layout) -> pa.Table:
     return pa.table({"treeID": owner, "nodeData": pa.StructArray.from_arrays(list(data.values()), list(data))})
 
 
-def as_model(spark: SparkSession, base: float, trees: Sequence[Tree], layout: Layout, params: BoostParams) -> GBTRegressionModel:
+def stored_model(
+    spark: SparkSession, kind: type, uid: str, base: float, trees: Sequence[Tree], layout: Layout, given: Mapping[str, Any], defaults: Mapping[str, Any]
+) -> Any:
     """The trees as a model of the ML library, by way of its stored form; ``base`` is part of the first tree."""
-    nodes = _node_table(base, trees or [Tree()], layout)
-    path, now = scratch_path(spark, "boosted-model"), int(time.time() * 1000)
+    nodes, n = _node_table(base, trees, layout), len(trees)
+    path, now = scratch_path(spark, "trees-model"), int(time.time() * 1000)
 
-    def described(kind: str, uid: str, given: dict[str, Any], defaults: dict[str, Any], **more: Any) -> str:
-        return json.dumps({"class": f"org.apache.spark.ml.regression.{kind}", "timestamp": now, "sparkVersion": spark.version, "uid": uid, "paramMap": given, "defaultParamMap": defaults, **more})
+    def described(name: str, uid: str, given: Mapping[str, Any], defaults: Mapping[str, Any], **more: Any) -> str:
+        return json.dumps({"class": f"org.apache.spark.ml.regression.{name}", "timestamp": now, "sparkVersion": spark.version, "uid": uid, "paramMap": given, "defaultParamMap": defaults, **more})
 
-    n = len(trees or [Tree()])
-    own = {"maxDepth": min(params.depth, 30), "maxIter": max(params.rounds, 1), "stepSize": params.rate, "subsamplingRate": params.subsample, "seed": params.seed}
     try:
-        whole = described("GBTRegressionModel", "GBTRegressor_hist", own, {**_DEFAULTS, **_BOOSTED_DEFAULTS}, numFeatures=layout.width, numTrees=n)
+        whole = described(kind.__name__, uid, given, defaults, numFeatures=layout.width, numTrees=n)
         spark.createDataFrame([(whole,)], "value string").coalesce(1).write.text(f"{path}/metadata")
-        each = [(t, described("DecisionTreeRegressionModel", f"dtr_hist_{t}", {"maxDepth": own["maxDepth"]}, _DEFAULTS), 1.0) for t in range(n)]
+        each = [(t, described("DecisionTreeRegressionModel", f"dtr_hist_{t}", {"maxDepth": given["maxDepth"]}, _DEFAULTS), 1.0) for t in range(n)]
         spark.createDataFrame(each, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
         spark.createDataFrame(nodes).write.parquet(f"{path}/data")
-        return GBTRegressionModel.load(path)
+        return kind.load(path)
     finally:
         remove(spark, path)
 
 
+def as_model(spark: SparkSession, base: float, trees: Sequence[Tree], layout: Layout, params: BoostParams) -> GBTRegressionModel:
+    """The trees of a boosted fit as a model."""
+    given = {"maxDepth": min(params.depth, 30), "maxIter": max(params.rounds, 1), "stepSize": params.rate, "subsamplingRate": params.subsample, "seed": params.seed}
+    return stored_model(spark, GBTRegressionModel, "GBTRegressor_hist", base, trees or [Tree()], layout, given, {**_DEFAULTS, **_BOOSTED_DEFAULTS})
+
+
 def binned(vectors: DataFrame, numeric: int, widths: Sequence[int], label: str = "label") -> tuple[Layout, DataFrame]:
     """The layout of the vectors and their blocks, which any number of fits can read."""
     layout = fit_layout(vectors, numeric, widths)

@@ -16,7 +16,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hedonic.models import boosting
+from hedonic.models import boosting, forest
 from hedonic.models.boosting import BoostParams
 from hedonic.models.encode import FeatureEncoder
 from hedonic.operators.target import log_target, smear_factor, to_dollars
@@ -179,11 +179,24 @@ class PriceModel:
 
 
 def fit_encoded(
-    family: str, params: Mapping[str, Any], vectors: DataFrame, encoder: FeatureEncoder, target: str = "price", log: bool = True, smearing: bool = True
+    family: str,
+    params: Mapping[str, Any],
+    vectors: DataFrame,
+    encoder: FeatureEncoder,
+    target: str = "price",
+    log: bool = True,
+    smearing: bool = True,
+    blocks: tuple[boosting.Layout, DataFrame] | None = None,
 ) -> PriceModel:
-    """Fit a regressor on encoded training rows and its smear factor on their residuals."""
+    """Fit a regressor on encoded training rows and its smear factor on their residuals.
+
+    Boosted trees are always fitted on blocks, a forest where they are given.
+    """
     if family == "boosted":
-        return fit_boosted_stages([params], vectors, encoder, target, log, smearing).models()[0]
+        return fit_boosted_stages([params], vectors, encoder, target, log, smearing, blocks).models()[0]
+    if family == "rf" and blocks is not None:
+        regressor, smear = forest.fit(vectors.sparkSession, make_estimator(family, params), *blocks, log and smearing)
+        return PriceModel(family, dict(params), encoder, regressor, smear, log, target)
     labelled = log_target(vectors, target, "label", log).select("features", "label")
     rows, std = 1, 1.0
     if family == "ridge":

@@ -129,13 +129,12 @@ def sweep(
 ) -> list[Trial]:
     """Fit every candidate on the encoded training rows and score it on the validation rows.
 
-    Both are encoded once and kept for all trials; lost parts are encoded again. Boosted
+    Both are encoded once and written for all trials. Boosted
     candidates that differ in the number of trees only are one fit, scored in one pass.
     Fits run side by side, as far as the cluster has room for their jobs.
     """
     columns = [target]
-    train_vectors = encoder.transform(train).select(*columns, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    val_vectors = encoder.transform(val).select(*columns, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    encoded = encoder.transform(train).select(*columns, "features")
 
     def fit(group: _Group) -> list[tuple[dict[str, float | None], PriceModel]]:
         if group.family == "boosted":
@@ -149,16 +148,13 @@ def sweep(
         return [(score(model.predict(val_vectors, encoded=True), target), model)]
 
     groups = _groups(candidates)
-    try:
-        # the vectors are kept by a first job of their own, which the fits then share
-        train_vectors.count(), val_vectors.count()
-        # rows are binned once for all boosted fits
-        blocks = boosted_blocks(train_vectors, encoder, target, log) if any(g.family == "boosted" for g in groups) else None
+    with scratch(train.sparkSession):
+        val_vectors = written(encoder.transform(val).select(*columns, "features"), "vectors")
+        # boosted fits read the blocks alone; rows are binned once for all of them
+        train_vectors = written(encoded, "vectors") if any(g.family != "boosted" for g in groups) else encoded
+        blocks = boosted_blocks(encoded, encoder, target, log) if any(g.family == "boosted" for g in groups) else None
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
             results = list(pool.map(fit, groups))
-    finally:
-        train_vectors.unpersist()
-        val_vectors.unpersist()
     trials = [
         Trial(number, group.family, dict(params), scores, model)
         for group, fitted in zip(groups, results)
@@ -237,12 +233,22 @@ def refit_all(
     """A fresh encoder on all given rows, and one model per family on the rows it encoded once."""
     encoder = fit_encoder(frame, numeric, categorical, settings)
     rows = frame.select(*dict.fromkeys([target, *numeric, *categorical]))
-    rows = encoder.spread(rows) if "rf" in chosen else rows
-    vectors = encoder.transform(rows).select(target, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {family: fit_encoded(family, params, vectors, encoder, target, log, smearing) for family, params in chosen.items()}
-    finally:
-        vectors.unpersist()
+    large = "rf" in chosen and not encoder.dense(rows)
+    rows = encoder.spread(rows) if "rf" in chosen and not large else rows
+    encoded = encoder.transform(rows).select(target, "features")
+    with scratch(frame.sparkSession):
+        by_blocks = {family for family in chosen if family == "boosted" or family == "rf" and large}
+        blocks = boosted_blocks(encoded, encoder, target, log) if by_blocks else None
+        if "rf" in chosen and not large:
+            # such a forest draws rows by their place, which reading them again would change
+            vectors = encoded.persist(StorageLevel.MEMORY_AND_DISK)
+        else:
+            vectors = written(encoded, "vectors") if set(chosen) - by_blocks else encoded
+        try:
+            return {family: fit_encoded(family, params, vectors, encoder, target, log, smearing, blocks if family in by_blocks else None) for family, params in chosen.items()}
+        finally:
+            if vectors is encoded:
+                vectors.unpersist()
 
 
 def refit(frame: DataFrame, family: str, params: Mapping[str, Any], *rest: Any) -> PriceModel:
