@@ -209,6 +209,11 @@ class _Local:
         self.blocks, self.layout = blocks, layout
         self.codes = [np.concatenate([b.codes[c] for b in blocks]) if blocks else np.zeros(0, np.uint8) for c in range(len(layout.sizes))]
         self.label, self.margin = (np.concatenate([np.zeros(0), *[getattr(b, name) for b in blocks]]) for name in ("label", "margin"))
+        # what is held once need not be held by block too
+        at = 0
+        for b in blocks if len(blocks) > 1 else ():
+            b.codes, b.margin, b.label = [], np.zeros(0), self.label[at : at + len(b.label)]
+            at += len(b.label)
 
     @cached_property
     def cells(self) -> np.ndarray:

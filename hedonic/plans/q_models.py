@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hedonic.models import encode, sweep
-from hedonic.models.estimators import PriceModel, fit_encoded, resolve_kind
+from hedonic.models.estimators import PriceModel, boosted_blocks, fit_encoded, resolve_kind
 from hedonic.operators import metrics
 from hedonic.operators.features import STANDARD_EXPRESSIONS, add_expressions, years_since_previous
 from hedonic.operators.split import part
@@ -205,11 +205,14 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir)
     encoder, vectors = encoded(df)
     small = {"ridge": RIDGE, "rf": {**FOREST, "n_estimators": 3}, "boosted": {**BOOSTED, "n_estimators": 3}}
-    out = None
+    train, out = part(vectors, "train"), None
+    blocks, dense = boosted_blocks(train, encoder), encoder.dense(part(df, "train"))  # rows are binned once for all trees
     for kind in ("ridge", "random_forest", "xgboost", "auto"):
         family = resolve_kind(kind)
-        train = encoder.transform(encoder.spread(part(df, "train"))) if family == "rf" else part(vectors, "train")
-        rows = scored(df, fit_encoded(family, small[family], train, encoder)).withColumn("kind", F.lit(kind))
+        spread = family == "rf" and dense
+        rows = encoder.transform(encoder.spread(part(df, "train"))) if spread else train
+        model = fit_encoded(family, small[family], rows, encoder, blocks=None if spread else blocks)
+        rows = scored(df, model).withColumn("kind", F.lit(kind))
         out = rows if out is None else out.unionByName(rows)
     return out
 
