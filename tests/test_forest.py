@@ -119,3 +119,12 @@ def test_no_vectors_are_kept_for_ridge_and_boosted(spark, monkeypatch):
     trials = sweep.sweep(df, df, encoder, {"ridge": [{"alpha": 1.0}], "boosted": [{"n_estimators": 2, "max_depth": 2}]})
     assert len(trials) == 2 and trials[0].scores["R2"] > 0.9
     assert sweep.refit(df, "ridge", {"alpha": 1.0}, ["x"], ["c"], {}).predict(df).count() == 200 and not kept
+
+
+def test_rows_without_a_label_are_an_error(spark, vectors, binned):
+    layout = binned[0]
+    blocks = boosting.bin_rows(vectors.withColumn("label", F.when(F.col("i") != 7, F.col("label"))), layout)
+    with pytest.raises(ValueError, match="labels"):
+        forest.grow(blocks, layout, forest.ForestParams.of(estimators.make_estimator("rf", {"n_estimators": 2})))
+    with pytest.raises(ValueError, match="rows"):
+        forest.grow(blocks.limit(0), layout, forest.ForestParams.of(estimators.make_estimator("rf", {"n_estimators": 2})))
